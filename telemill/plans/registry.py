@@ -99,7 +99,7 @@ def _state(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def kafka_encode(spark, d):
-    view = feed.telemetry_view(feed.events_table(spark, d)).select(*EVENT.fieldNames())
+    view = feed.telemetry_view(feed.spread(feed.events_table(spark, d))).select(*EVENT.fieldNames())
     sent = kafka.encode_messages(view)
     back = F.inline(F.array(F.from_json(F.col("value").cast("string"), EVENT)))
     return sent.select(F.col("key").cast("string").alias("message_key"), back).withColumns(_no_nan("temperature"))

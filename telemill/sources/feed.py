@@ -7,7 +7,7 @@ is one narrow projection over the table and another engine can reproduce it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Defect kinds by divisor of event_id, first match wins (fixed values shared with the SQL checks).
 DEFECTS = (
@@ -41,8 +41,13 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
+def spread(events: DataFrame) -> DataFrame:
+    """Use all cores on a table with fewer input splits than that; larger ones stay unshuffled.
+
+    Building and parsing a payload costs far more than reading the few bytes it is derived from.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores, "event_id")
 
 
 def telemetry_view(events: DataFrame, defects: bool = True) -> DataFrame:
@@ -51,130 +56,73 @@ def telemetry_view(events: DataFrame, defects: bool = True) -> DataFrame:
     Without ``defects`` only the mistakes a typed row can carry remain (bad ids, times, ranges,
     codes) and the second transmission of an event equals the first.
     """
-    kind = F.lit(None).cast("string")
-    if defects:
-        for divisor, name in reversed(DEFECTS):
-            kind = F.when(_every(divisor), name).otherwise(kind)
-    copies = F.when(_every(10), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = events.select(
+    cases = " ".join(f"WHEN event_id % {n} = 0 THEN '{kind}'" for n, kind in DEFECTS)
+    sent = events.selectExpr(
         "event_id",
-        F.explode(copies).alias("copy_no"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("iso"),
-        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
-        (F.col("user_id") % 10).cast("string").alias("unit"),
+        "explode(if(event_id % 10 = 0, array(0, 1), array(0))) AS copy_no",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS iso",
+        "CAST(ts AS TIMESTAMP) AS kafka_timestamp",
+        "CAST(user_id % 10 AS STRING) AS unit",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("double").alias("charge"),
-        kind.alias("defect"),
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS charge",
+        f"CASE {cases} ELSE '' END AS defect" if defects else "'' AS defect",
     )
     # Every other second transmission carries a corrected reading, so it matters which one is kept.
-    revised = (F.col("copy_no") == 1) & _every(20) & F.lit(defects)
-    return sent.select(
+    revised = f"copy_no = 1 AND event_id % 20 = 0 AND {str(defects).lower()}"
+    return sent.selectExpr(
         "event_id",
-        (F.col("event_id") * 2 + F.col("copy_no")).alias("offset"),
-        (F.col("event_id") % BATCHES).alias("batch_id"),
+        "event_id * 2 + copy_no AS offset",
+        f"event_id % {BATCHES} AS batch_id",
         "kafka_timestamp",
         "defect",
-        F.when(F.col("defect") == "numeric_id", "42")
-        .when(F.col("defect") == "absent_id", F.lit(None).cast("string"))
-        .when(F.col("defect") == "tab_id", F.concat(F.lit("\tBMW-"), "unit"))
-        .when(_every(97), "")
-        .when(_every(89), F.concat(F.lit("CAR-"), "unit"))
-        .otherwise(F.concat(F.when(_every(2), " BMW-").otherwise(" bmw-"), "unit", F.lit(" ")))
-        .alias("vehicle_id"),
-        F.when(_every(101), "not-a-date")
-        .when(_every(103), F.col("iso"))
-        .when(F.col("defect") == "basic_offset", F.concat("iso", F.lit("+0000")))
-        .when(F.col("defect") == "time_only", "10:30:00Z")
-        .when(F.col("defect") == "east_offset", F.concat("iso", F.lit("+02:00")))
-        .otherwise(F.concat("iso", F.lit("Z")))
-        .alias("timestamp"),
-        (F.col("value") + F.when(revised, 1.0).otherwise(0.0)).alias("speed"),
-        F.when(F.col("defect") == "null_battery", F.lit(None).cast("double"))
-        .when(_every(107), 120.0)
-        .otherwise(F.col("charge"))
-        .alias("battery_level"),
-        F.when(F.col("defect") == "absent_temperature", F.lit(None).cast("double"))
-        .when(F.col("defect") == "nan_temperature", F.lit(float("nan")))
-        .otherwise(F.col("event_id") % 150 - 25.0)
-        .alias("temperature"),
-        F.when(F.col("defect") == "null_fault", F.lit(None).cast("string"))
-        .when(F.col("defect") == "alias_fault", "temphigh")
-        .when(F.col("event_type") == "view", "none")
-        .when(F.col("event_type") == "signup", "NONE")
-        .when(F.col("event_type") == "click", "temp-high")
-        .when(F.col("event_type") == "error", " Engine_Fault ")
-        .when(_every(5), "overheat")
-        .otherwise("battery_low")
-        .alias("fault_code"),
+        r"""CASE WHEN defect = 'numeric_id' THEN '42' WHEN defect = 'absent_id' THEN NULL
+             WHEN defect = 'tab_id' THEN concat('\tBMW-', unit)
+             WHEN event_id % 97 = 0 THEN '' WHEN event_id % 89 = 0 THEN concat('CAR-', unit)
+             ELSE concat(if(event_id % 2 = 0, ' BMW-', ' bmw-'), unit, ' ') END AS vehicle_id""",
+        """CASE WHEN event_id % 101 = 0 THEN 'not-a-date' WHEN event_id % 103 = 0 THEN iso
+             WHEN defect = 'time_only' THEN '10:30:00Z'
+             ELSE concat(iso, CASE defect WHEN 'basic_offset' THEN '+0000' WHEN 'east_offset' THEN '+02:00'
+                         ELSE 'Z' END) END AS timestamp""",
+        f"value + if({revised}, 1.0D, 0.0D) AS speed",
+        "CASE WHEN defect = 'null_battery' THEN NULL WHEN event_id % 107 = 0 THEN 120.0D ELSE charge END AS battery_level",
+        """CASE WHEN defect = 'absent_temperature' THEN NULL WHEN defect = 'nan_temperature' THEN DOUBLE('NaN')
+             ELSE event_id % 150 - 25.0D END AS temperature""",
+        """CASE WHEN defect = 'null_fault' THEN NULL WHEN defect = 'alias_fault' THEN 'temphigh'
+             WHEN event_type = 'view' THEN 'none' WHEN event_type = 'signup' THEN 'NONE'
+             WHEN event_type = 'click' THEN 'temp-high' WHEN event_type = 'error' THEN ' Engine_Fault '
+             WHEN event_id % 5 = 0 THEN 'overheat' ELSE 'battery_low' END AS fault_code""",
     )
 
 
-def _payload() -> Column:
-    """The view's row as JSON text, written out so that its exact form is known."""
-
-    def text(c: str) -> Column:
-        quoted = F.concat(F.lit('"'), F.replace(F.col(c), F.lit("\t"), F.lit("\\t")), F.lit('"'))
-        return F.coalesce(quoted, F.lit("null"))
-
-    def number(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
-
-    defect = F.coalesce(F.col("defect"), F.lit(""))
-    id_member = (
-        F.when(defect == "absent_id", "")
-        .when(defect == "numeric_id", F.concat(F.lit('"vehicle_id": '), "vehicle_id", F.lit(", ")))
-        .otherwise(F.concat(F.lit('"vehicle_id": '), text("vehicle_id"), F.lit(", ")))
-    )
-    speed = (
-        F.when(defect == "quoted_speed", F.concat(F.lit('"'), number("speed"), F.lit('"')))
-        .when(defect == "text_speed", '"fast"')
-        .otherwise(number("speed"))
-    )
-    temperature = F.when(defect == "absent_temperature", "").otherwise(
-        F.concat(F.lit('"temperature": '), number("temperature"), F.lit(", "))
-    )
-    whole = F.concat(
-        F.lit("{"),
-        id_member,
-        F.lit('"timestamp": '),
-        text("timestamp"),
-        F.lit(', "speed": '),
-        speed,
-        F.lit(', "battery_level": '),
-        number("battery_level"),
-        F.lit(", "),
-        temperature,
-        F.lit('"fault_code": '),
-        text("fault_code"),
-        F.lit("}"),
-    )
-    return (
-        F.when(defect == "not_json", "not json")
-        .when(defect == "truncated", F.concat(F.lit('{"vehicle_id": '), text("vehicle_id"), F.lit(', "speed":')))
-        .when(defect == "empty_array", "[]")
-        .when(defect == "empty_object", "{}")
-        .when(defect == "empty_text", "")
-        .when(defect == "null_value", F.lit(None).cast("string"))
-        .when(defect == "object_in_array", F.concat(F.lit("["), whole, F.lit("]")))
-        .when(defect == "json_null", "null")
-        .when(defect == "trailing_text", F.concat(whole, F.lit(" trailing")))
-        .otherwise(whole)
-    )
+# The view's row as JSON text, written out so that its exact form is known.
+_BODY = r"""concat('{',
+  CASE defect WHEN 'absent_id' THEN '' WHEN 'numeric_id' THEN '"vehicle_id": 42, '
+       ELSE concat('"vehicle_id": "', replace(vehicle_id, '\t', '\\t'), '", ') END,
+  '"timestamp": "', timestamp, '", "speed": ',
+  CASE defect WHEN 'quoted_speed' THEN concat('"', speed, '"') WHEN 'text_speed' THEN '"fast"'
+       ELSE CAST(speed AS STRING) END,
+  ', "battery_level": ', coalesce(CAST(battery_level AS STRING), 'null'), ', ',
+  CASE defect WHEN 'absent_temperature' THEN '' ELSE concat('"temperature": ', temperature, ', ') END,
+  '"fault_code": ', coalesce(concat('"', fault_code, '"'), 'null'), '}')"""
+_PAYLOAD = """CASE defect WHEN '' THEN body
+  WHEN 'not_json' THEN 'not json' WHEN 'truncated' THEN concat('{"vehicle_id": "', vehicle_id, '", "speed":')
+  WHEN 'empty_array' THEN '[]' WHEN 'empty_object' THEN '{}' WHEN 'empty_text' THEN '' WHEN 'null_value' THEN NULL
+  WHEN 'object_in_array' THEN concat('[', body, ']') WHEN 'json_null' THEN 'null'
+  WHEN 'trailing_text' THEN concat(body, ' trailing') ELSE body END"""
 
 
 def kafka_records(view: DataFrame) -> DataFrame:
     """Broker-shaped records of the view (``key``, ``value``, ``timestamp``, ``offset``) plus the
     originating ``event_id`` and its micro-batch."""
-    return view.select(
-        F.coalesce("vehicle_id", F.lit("unknown")).cast("binary").alias("key"),
-        _payload().cast("binary").alias("value"),
-        F.col("kafka_timestamp").alias("timestamp"),
-        "offset",
-        "event_id",
-        "batch_id",
+    ids = ("offset", "event_id", "batch_id")
+    return view.selectExpr(*ids, "kafka_timestamp", "vehicle_id", "defect", f"{_BODY} AS body").selectExpr(
+        "CAST(coalesce(vehicle_id, 'unknown') AS BINARY) AS key",
+        f"CAST({_PAYLOAD} AS BINARY) AS value",
+        "kafka_timestamp AS timestamp",
+        *ids,
     )
 
 
 def read_feed(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
-    return kafka_records(telemetry_view(events_table(spark, sf_dir), defects))
+    return kafka_records(telemetry_view(spread(events_table(spark, sf_dir)), defects))
