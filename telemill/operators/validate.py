@@ -187,6 +187,20 @@ def validate_split(judged: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFr
     return valid, invalid, reasons
 
 
+def split_rows(judged: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The same three parts as one long frame ``(part, content)``, from a single pass: the id of a
+    valid event, the original payload of an invalid one, and each of its reasons."""
+
+    def row(part: str, content: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), content.alias("content"))
+
+    rejected = F.concat(
+        F.array(row("invalid", F.col("json_payload"))), F.transform("errors", lambda e: row("reason", e))
+    )
+    rows = F.when(F.col("valid"), F.array(row("valid", F.col("vehicle_id")))).otherwise(rejected)
+    return judged.select(*carry, F.inline(rows))
+
+
 def dq_reason_counts(judged: DataFrame) -> DataFrame:
     """How often each rule failed."""
     _, _, reasons = validate_split(judged)

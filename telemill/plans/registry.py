@@ -331,12 +331,7 @@ def validate_rules(spark, d):
 
 @query
 def validate_split(spark, d):
-    valid, invalid, reasons = va.validate_split(_judged(spark, d), ORIGIN)
-    return (
-        valid.select(*ORIGIN, F.lit("valid").alias("part"), F.col("vehicle_id").alias("content"))
-        .unionByName(invalid.select(*ORIGIN, F.lit("invalid").alias("part"), F.col("json_payload").alias("content")))
-        .unionByName(reasons.select(*ORIGIN, F.lit("reason").alias("part"), F.col("reason").alias("content")))
-    )
+    return va.split_rows(_judged(spark, d), ORIGIN)
 
 
 @query

@@ -161,6 +161,19 @@ def test_split_keeps_originals_and_lists_reasons(records):
     assert counts == {"fault_code is invalid": 1, "speed is out of expected range 0..250": 1}
 
 
+def test_single_pass_split_has_the_same_parts(records):
+    judged = va.validate_rules(records([p for p, _ in CASES]), carry=["offset"])
+    valid, invalid, reasons = va.validate_split(judged, ["offset"])
+    rows = va.split_rows(judged, ["offset"])
+
+    def part(name):
+        return sorted(((r.offset, r.content) for r in rows.filter(F.col("part") == name).collect()), key=str)
+
+    assert part("valid") == sorted(((r.offset, r.vehicle_id) for r in valid.collect()), key=str)
+    assert part("invalid") == sorted(((r.offset, r.json_payload) for r in invalid.collect()), key=str)
+    assert part("reason") == sorted(((r.offset, r.reason) for r in reasons.collect()), key=str)
+
+
 def test_invalid_counts_per_batch(records):
     flagged = va.flag_events(records([event(), "x", event(speed=-1)], [0, 0, 1]), carry=["batch_id"])
     assert {r.batch_id: r.invalid_records for r in va.invalid_counts(flagged).collect()} == {0: 1, 1: 1}
