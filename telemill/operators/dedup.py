@@ -44,10 +44,14 @@ def exact_dedup(events: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def exact_dedup_payloads(decoded: DataFrame) -> DataFrame:
-    """Distinct JSON objects as sorted ``entries`` of key and text value.
+    """Distinct JSON objects as a map column ``fields`` of key to text value.
 
     Two payloads are the same record when all their key-value pairs are, in whatever order and
     spacing; an absent key differs from a null. Payloads that are not objects are left out.
     """
-    entries = F.array_sort(F.map_entries(F.from_json("json_payload", ANY_OBJECT)))
-    return decoded.select(entries.alias("entries")).filter("entries IS NOT NULL").distinct()
+    # Exploding a one-element array evaluates the parse once per row. A map cannot be a grouping
+    # key, its sorted entries can.
+    parsed = decoded.select(F.explode(F.array(F.from_json("json_payload", ANY_OBJECT))).alias("fields"))
+    entries = F.sort_array(F.map_entries("fields"))
+    distinct = parsed.filter("fields IS NOT NULL").select(entries.alias("entries")).distinct()
+    return distinct.select(F.explode(F.array(F.map_from_entries("entries"))).alias("fields"))

@@ -71,11 +71,9 @@ def flag_events(
         malformed = F.coalesce(F.col("json_payload").rlike(r"\A\s*\z"), F.lit(True))
     else:
         malformed = is_malformed()
-    flagged = normalize(events).withColumns({"is_valid": passes(rules), "is_malformed": malformed})
-    return flagged.withColumn(
-        "error_reason",
-        F.when(~F.col("is_valid"), F.when(F.col("is_malformed"), MALFORMED).otherwise(INVALID)),
-    ).drop("is_malformed")
+    ok = passes(rules)
+    reason = F.when(~ok, F.when(malformed, MALFORMED).otherwise(INVALID))
+    return normalize(events).withColumns({"is_valid": ok, "error_reason": reason})
 
 
 def valid_events(flagged: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -24,8 +24,8 @@ def is_fault_any_case(code: str = "fault_code") -> Column:
 
 def flatten_window(windowed: DataFrame) -> DataFrame:
     """``window`` struct as start and end columns, in the table's column order."""
-    flat = windowed.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
-    return flat.select(*WINDOW_COLUMNS)
+    bounds = {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
+    return windowed.select(*[bounds[c].alias(c) if c in bounds else c for c in WINDOW_COLUMNS])
 
 
 def window_kpis(

@@ -373,9 +373,8 @@ def stream_dedup(spark, d):
 @query
 def exact_dedup(spark, d):
     distinct = dedup.exact_dedup_payloads(_decoded(spark, d))
-    fields = F.map_from_entries("entries")
     return distinct.select(
-        *[F.try_element_at(fields, F.lit(f)).alias(f) for f in REQUIRED_FIELDS], F.size("entries").alias("key_count")
+        *[F.try_element_at("fields", F.lit(f)).alias(f) for f in REQUIRED_FIELDS], F.size("fields").alias("key_count")
     )
 
 
@@ -487,9 +486,8 @@ def ingest_outcomes(spark, d):
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
     """The feed as a stream over the same table."""
-    schema = feed.events_table(spark, d).schema
     # A pattern, because a plain path would have to be a folder.
-    events = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")
+    events = spark.readStream.schema(feed.EVENTS).parquet(f"{d}/events.parquet*")
     return feed.kafka_records(feed.telemetry_view(events))
 
 

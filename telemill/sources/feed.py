@@ -37,8 +37,11 @@ DEFECTS = (
 BATCHES = 3
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def spread(events: DataFrame) -> DataFrame:
