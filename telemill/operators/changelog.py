@@ -3,6 +3,9 @@ operators produce, compact and compare such changelogs."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telemill.config import DEFAULT_WINDOW
@@ -20,7 +23,12 @@ def update_changelog(
     Each batch emits the cumulative aggregate of every window it touched. Events are first
     reduced to one row per window and batch; only those rows are accumulated.
     """
-    partial = events.groupBy(F.window("event_timestamp", window_duration), "vehicle_id", batch).agg(
+    # Start and end as columns of their own: accumulation and a later compaction then share one
+    # partitioning, and filters on a bound travel down to the events.
+    windowed = events.withColumn("_window", F.window("event_timestamp", window_duration)).withColumns(
+        {"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}
+    )
+    partial = windowed.groupBy(*WINDOW_KEY, F.col(batch).cast("bigint").alias("batch_id")).agg(
         F.sum("speed").alias("speed"),
         F.sum("battery_level").alias("battery"),
         F.max("temperature").alias("temperature"),
@@ -28,21 +36,19 @@ def update_changelog(
         F.count(F.lit(1)).alias("events"),
     )
     so_far = (
-        Window.partitionBy("vehicle_id", "window")
-        .orderBy(batch)
+        Window.partitionBy(*WINDOW_KEY)
+        .orderBy("batch_id")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     count = F.sum("events").over(so_far)
     return partial.select(
-        "vehicle_id",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        *WINDOW_KEY,
         (F.sum("speed").over(so_far) / count).alias("average_speed"),
         (F.sum("battery").over(so_far) / count).alias("average_battery_level"),
         F.max("temperature").over(so_far).alias("maximum_temperature"),
         F.sum("faults").over(so_far).alias("fault_count"),
         count.alias("event_count"),
-        F.col(batch).cast("bigint").alias("batch_id"),
+        "batch_id",
     )
 
 
@@ -82,11 +88,16 @@ def snapshot_diff(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     """
     if previous is None:
         return current.withColumn("change", F.lit("new")).filter(F.lit(False))
-    before = previous.select(*SNAPSHOT_KEY, F.col("event_count").alias("_before"))
+    before = previous.select(
+        *[F.col(k).alias(f"_{k}") for k in SNAPSHOT_KEY], F.col("event_count").alias("_before")
+    )
+    # Null-safe equality adds no null filter to one side only, so two snapshots of one changelog
+    # keep identical plans and share their exchanges.
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in SNAPSHOT_KEY])
     change = F.when(F.col("_before").isNull(), "new").when(F.col("event_count") > F.col("_before"), "updated")
     return (
-        current.join(before, list(SNAPSHOT_KEY), "left")
+        current.join(before, same, "left")
         .withColumn("change", change)
         .filter(F.col("change").isNotNull())
-        .drop("_before")
+        .drop("_before", *[f"_{k}" for k in SNAPSHOT_KEY])
     )

@@ -12,9 +12,21 @@ from telemill.schema import ANY_OBJECT
 EVENT_KEY = ("vehicle_id", "event_timestamp")
 
 
-def stream_dedup(valid: DataFrame, watermark: str, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
-    """First arrival per key, state bounded by the event-time watermark (streaming frames)."""
-    return valid.withWatermark("event_timestamp", watermark).dropDuplicates(list(keys))
+def stream_dedup(
+    valid: DataFrame, watermark: str, keys: Sequence[str] = EVENT_KEY, salts: int = 1
+) -> DataFrame:
+    """First arrival per key, state bounded by the event-time watermark (streaming frames).
+
+    Streaming dedup has no map-side stage: all copies of an event meet in one task. Where one
+    event may be sent very many times, ``salts`` > 1 first removes copies within that many
+    sub-groups per key (split by arrival time) and only the survivors meet. Which copy survives is
+    then the first of some sub-group; the price is a second state entry per key.
+    """
+    events = valid.withWatermark("event_timestamp", watermark)
+    if salts > 1:
+        salted = events.withColumn("_salt", F.pmod(F.xxhash64("kafka_timestamp"), F.lit(salts)))
+        events = salted.dropDuplicates([*keys, "_salt"]).drop("_salt")
+    return events.dropDuplicates(list(keys))
 
 
 def first_arrival(valid: DataFrame, arrival: Sequence[str], keys: Sequence[str] = EVENT_KEY) -> DataFrame:

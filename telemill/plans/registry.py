@@ -352,8 +352,9 @@ def high_temp_windows(spark, d):
 
 @query
 def recent_windows(spark, d):
-    s = _state(spark, d)
-    return an.recent_windows(s, as_of=s.select(F.max("window_end")).scalar())
+    changes = _changelog(spark, d)
+    newest = changes.select(F.max("window_end")).scalar()
+    return an.recent_windows(cl.latest_window_state(changes), as_of=newest)
 
 
 @query

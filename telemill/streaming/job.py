@@ -49,6 +49,7 @@ class JobSettings:
     console: bool = False
     emit_metrics: bool = True
     rules: RuleSet = DEFAULT_RULES
+    dedup_salts: int = 1
 
 
 def parse_args(argv: Sequence[str] | None = None) -> JobSettings:
@@ -61,6 +62,7 @@ def parse_args(argv: Sequence[str] | None = None) -> JobSettings:
     parser.add_argument("--watermark-delay", default=env("SPARK_WATERMARK_DELAY", DEFAULT_WATERMARK))
     parser.add_argument("--checkpoint", default=env("SPARK_CHECKPOINT_LOCATION", "./checkpoints/telemetry"))
     parser.add_argument("--output", required=True, help="base folder of all outputs")
+    parser.add_argument("--dedup-salts", type=int, default=1, help="split copies of one event over this many tasks")
     parser.add_argument("--console", action="store_true", help="also print every aggregate batch")
     args = parser.parse_args(argv)
     return JobSettings(**vars(args))
@@ -70,11 +72,14 @@ def parse_args(argv: Sequence[str] | None = None) -> JobSettings:
 
 
 def parse_and_validate_events(
-    records: DataFrame, watermark_delay: str = DEFAULT_WATERMARK, rules: RuleSet = DEFAULT_RULES
+    records: DataFrame,
+    watermark_delay: str = DEFAULT_WATERMARK,
+    rules: RuleSet = DEFAULT_RULES,
+    dedup_salts: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, watermarked and deduplicated events, dead letters)`` of a broker stream."""
     flagged = flag_events(records, rules)
-    return stream_dedup(valid_events(flagged), watermark_delay), dead_letter(flagged)
+    return stream_dedup(valid_events(flagged), watermark_delay, salts=dedup_salts), dead_letter(flagged)
 
 
 def build_frames(
@@ -82,9 +87,10 @@ def build_frames(
     window_duration: str = DEFAULT_WINDOW,
     watermark_delay: str = DEFAULT_WATERMARK,
     rules: RuleSet = DEFAULT_RULES,
+    dedup_salts: int = 1,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(valid events, dead letters, window aggregates)`` over any broker-shaped frame."""
-    valid, rejected = parse_and_validate_events(records, watermark_delay, rules)
+    valid, rejected = parse_and_validate_events(records, watermark_delay, rules, dedup_salts)
     return valid, rejected, window_kpis(valid, window_duration)
 
 
@@ -155,6 +161,11 @@ def _writer(frame: DataFrame, mode: str, checkpoint: str, name: str, trigger: di
     return writer.trigger(**trigger) if trigger else writer
 
 
+def _windows(records: DataFrame, settings: JobSettings) -> DataFrame:
+    s = settings
+    return build_frames(records, s.window_duration, s.watermark_delay, s.rules, s.dedup_salts)[2]
+
+
 def start_route(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
     flagged = flag_events(records, settings.rules)
     return (
@@ -164,7 +175,7 @@ def start_route(records: DataFrame, settings: JobSettings, trigger: dict | None
 
 def start_aggregates(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
     """Update mode: a window is written again whenever it changes."""
-    _, _, windows = build_frames(records, settings.window_duration, settings.watermark_delay, settings.rules)
+    windows = _windows(records, settings)
     return (
         _writer(windows, "update", settings.checkpoint, "aggregates", trigger)
         .foreachBatch(aggregate_batch(settings))
@@ -174,7 +185,7 @@ def start_aggregates(records: DataFrame, settings: JobSettings, trigger: dict |
 
 def start_final_windows(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
     """Append mode: every window once, when the watermark has passed it (exactly-once file sink)."""
-    _, _, windows = build_frames(records, settings.window_duration, settings.watermark_delay, settings.rules)
+    windows = _windows(records, settings)
     dated = windows.withColumn("date", curated.event_date())
     return (
         _writer(dated, "append", settings.checkpoint, "final_windows", trigger)

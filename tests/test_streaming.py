@@ -23,7 +23,10 @@ class Script:
 
     def arrive(self, *payloads):
         arrived = dt.datetime(2026, 9, 17, 12, tzinfo=dt.timezone.utc)
-        rows = [(b"k", (p if isinstance(p, str) else json.dumps(p)).encode(), arrived) for p in payloads]
+        rows = [
+            (b"k", (p if isinstance(p, str) else json.dumps(p)).encode(), arrived + dt.timedelta(seconds=i))
+            for i, p in enumerate(payloads)
+        ]
         self.count += 1
         # One file, written elsewhere and moved in, with a modification time that fixes the order.
         stage = self.folder.parent / f"stage{self.count}"
@@ -89,6 +92,14 @@ def test_updates_duplicates_and_late_rows(spark, script, settings):
     assert history == [2, 3], "a window is written each time it changes, and only then"
 
 
+def test_salted_dedup_gives_the_same_windows(spark, script, settings):
+    script.arrive(*[at("10:00:00", 10)] * 50, at("10:01:00", 20))
+    script.arrive(*[at("10:00:00", 10)] * 50, at("10:02:00", 60))
+    salted = job.JobSettings(**{**vars(settings), "dedup_salts": 8})
+    run_aggregates(script, salted)
+    assert state(spark, settings) == {("BMW-1", "10:00"): (3, 30.0)}
+
+
 def test_restart_continues_from_the_checkpoint(spark, script, settings, rocksdb):
     script.arrive(at("10:00:00", 10))
     run_aggregates(script, settings)
