@@ -6,13 +6,21 @@ from pyspark.sql import Column, functions as F
 
 from telemill.config import DEFAULT_RULES, NO_FAULT, RuleSet
 
-# Unicode white space plus the four ASCII separators \x1c-\x1f.
-_EDGE_SPACE = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# What counts as white space at the ends of a text (fixed values: every Unicode white space
+# character and the four ASCII separators).
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
-    """Remove every kind of white space at both ends (``trim`` only removes blanks)."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    """Remove every kind of white space at both ends (plain ``trim`` only removes blanks)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
+
+
+def _underscored(c: Column) -> Column:
+    return F.replace(c, F.lit("-"), F.lit("_"))
 
 
 def vehicle_id(c: Column, lenient: bool = False) -> Column:
@@ -22,7 +30,7 @@ def vehicle_id(c: Column, lenient: bool = False) -> Column:
 
 def fault_code(c: Column) -> Column:
     """Canonical code of the strict path: trimmed, upper case, ``-`` as ``_``."""
-    return F.upper(F.regexp_replace(F.trim(c), "-", "_"))
+    return F.upper(_underscored(F.trim(c)))
 
 
 def fault_code_alias(c: Column, rules: RuleSet = DEFAULT_RULES) -> Column:
@@ -30,6 +38,6 @@ def fault_code_alias(c: Column, rules: RuleSet = DEFAULT_RULES) -> Column:
 
     A code nobody knows passes through in canonical spelling.
     """
-    code = F.regexp_replace(F.upper(strip(c)), "-", "_")
+    code = _underscored(F.upper(strip(c)))
     known = F.create_map(*[F.lit(x) for pair in rules.fault_aliases.items() for x in pair])
     return F.coalesce(F.try_element_at(known, F.lower(code)), code, F.lit(NO_FAULT))

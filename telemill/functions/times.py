@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The offset a record must carry in the strict path.
-OFFSET = r"(Z|[+-][0-9]{2}:[0-9]{2})\z"
+# The numeric offset a record must carry in the strict path, unless it ends in Z.
+OFFSET = r"[+-][0-9]{2}:[0-9]{2}\z"
 # Without a date a bare time of day would be read as a time of *today*.
 _HAS_DATE = r"\A\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 # date, time, fraction, offset of an ISO-8601 text
@@ -22,7 +22,7 @@ def event_time(c: Column) -> Column:
 
 
 def has_offset(c: Column) -> Column:
-    return c.rlike(OFFSET)
+    return c.endswith("Z") | c.rlike(OFFSET)
 
 
 def is_iso(c: Column) -> Column:

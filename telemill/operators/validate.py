@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -119,55 +119,76 @@ def light_trim(events: DataFrame) -> DataFrame:
 def missing_fields() -> Column:
     """Names of the required keys the payload lacks, in declared order; the id never counts."""
     names = [f for f in REQUIRED_FIELDS if f != "vehicle_id"]
-    return F.array_compact(F.array(*[F.when(lacks_field(f), F.lit(f)) for f in names]))
+    some_null = reduce(or_, [F.col(f).isNull() for f in names])
+    absent = F.array_compact(F.array(*[F.when(lacks_field(f), F.lit(f)) for f in names]))
+    return F.when(some_null, absent).otherwise(_none())
+
+
+def _none() -> Column:
+    """Empty list of texts."""
+    return F.array().cast("array<string>")
+
+
+def _read(events: DataFrame) -> DataFrame:
+    """Add what the rules look at, so that each text is interpreted once per row."""
+    stamp = F.coalesce(F.col("timestamp"), F.lit(""))
+    return events.withColumns(
+        {
+            **{f"_{m}": numbers.numeric(F.col(m)) for m in MEASURES},
+            "_iso": times.is_iso(stamp),
+            "_zone": times.iso_has_zone(stamp),
+            "_absent": missing_fields(),
+        }
+    )
 
 
 def _range_message(name: str, rules: RuleSet) -> Column:
     low, high = rules.limits[name]
-    value = numbers.numeric(F.col(name))
+    value = F.col(f"_{name}")
     return F.when(value.isNull(), F.lit(f"{name} is not numeric")).when(
         ~value.between(low, high), F.lit(f"{name} is out of expected range {low}..{high}")
     )
 
 
 def validation_errors(rules: RuleSet = DEFAULT_RULES) -> Column:
-    """Ordered messages for a lightly trimmed text event; empty when it passes.
+    """Ordered messages for a trimmed text event that went through ``_read``; empty when it passes.
 
     Missing keys are reported alone. A payload that is no object at all gets one message.
     """
-    stamp = F.coalesce(F.col("timestamp"), F.lit(""))
-    rule_messages = F.array_compact(
-        F.array(
-            F.when(F.col("vehicle_id") == "", "vehicle_id is null or empty").when(
-                ~F.col("vehicle_id").rlike(rules.id_pattern_any_case), "vehicle_id has an invalid format"
-            ),
-            F.when(~times.is_iso(stamp), "timestamp is not a valid ISO-8601 datetime").when(
-                ~times.iso_has_zone(stamp), "timestamp must include timezone information"
-            ),
-            *[_range_message(name, rules) for name in MEASURES],
-            F.when(
-                ~F.coalesce(F.upper(F.col("fault_code")).isin(*rules.fault_codes), F.lit(False)),
-                "fault_code is invalid",
-            ),
-        )
-    )
-    absent = F.transform(missing_fields(), lambda f: F.concat(F.lit("Missing required field: "), f))
+    messages = [
+        F.when(F.col("vehicle_id") == "", "vehicle_id is null or empty").when(
+            ~F.col("vehicle_id").rlike(rules.id_pattern_any_case), "vehicle_id has an invalid format"
+        ),
+        F.when(~F.col("_iso"), "timestamp is not a valid ISO-8601 datetime").when(
+            ~F.col("_zone"), "timestamp must include timezone information"
+        ),
+        *[_range_message(name, rules) for name in MEASURES],
+        F.when(
+            ~F.coalesce(F.upper(F.col("fault_code")).isin(*rules.fault_codes), F.lit(False)),
+            "fault_code is invalid",
+        ),
+    ]
+    absent = F.transform("_absent", lambda f: F.concat(F.lit("Missing required field: "), f))
     return (
         F.when(F.col("is_malformed"), F.array(F.lit(MALFORMED)))
-        .when(F.size(absent) > 0, absent)
-        .otherwise(rule_messages)
+        .when(F.size("_absent") > 0, absent)
+        # Most rows fail nothing; the list is only put together for those that do.
+        .when(F.coalesce(*messages).isNull(), _none())
+        .otherwise(F.array_compact(F.array(*messages)))
     )
 
 
 def validate_rules(
     records: DataFrame, rules: RuleSet = DEFAULT_RULES, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per record with ``valid`` and the ordered ``errors``; fields trimmed, measures typed."""
+    """One row per record with ``valid`` and the ordered ``errors``.
+
+    Fields are trimmed text; measures are also there as numbers (``_speed`` and so on).
+    """
     # Exploding a one-element array pins `errors` to a single evaluation per row.
-    judged = light_trim(text_events(records, carry)).select(
-        "*", F.explode(F.array(validation_errors(rules))).alias("errors")
-    )
-    return judged.withColumn("valid", F.size("errors") == 0)
+    read = _read(light_trim(text_events(records, carry)))
+    judged = read.select("*", F.explode(F.array(validation_errors(rules))).alias("errors"))
+    return judged.withColumn("valid", F.size("errors") == 0).drop("_iso", "_zone", "_absent")
 
 
 def validate_split(judged: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -175,7 +196,7 @@ def validate_split(judged: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFr
     valid = judged.filter("valid").select(
         "vehicle_id",
         "timestamp",
-        *[numbers.numeric(F.col(m)).alias(m) for m in MEASURES],
+        *[F.col(f"_{m}").alias(m) for m in MEASURES],
         "fault_code",
         *carry,
     )
