@@ -101,3 +101,8 @@ def snapshot_diff(current: DataFrame, previous: DataFrame | None) -> DataFrame:
         .filter(F.col("change").isNotNull())
         .drop("_before", *[f"_{k}" for k in SNAPSHOT_KEY])
     )
+
+
+def new_window_count(diff: DataFrame) -> DataFrame:
+    """How many windows appeared (one row); above zero means the table grew."""
+    return diff.agg(F.count_if(F.col("change") == "new").alias("new_windows"))

@@ -156,10 +156,12 @@ def _write_console_logs(changes: DataFrame, path: str, logs: int = 4) -> None:
     """Print the changelog the way the console sink does, as ``logs`` files."""
     rows = changes.withColumn("log", F.pmod(F.xxhash64("vehicle_id", "window_start"), F.lit(logs)))
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in WINDOW_COLUMNS]
-    body = rows.select("log", "batch_id", F.lit(1).alias("rank"), F.concat(F.lit("|"), F.concat_ws("|", *cells), F.lit("|")).alias("value"))
+    row = F.concat(F.lit("|"), F.concat_ws("|", *cells), F.lit("|"))
+    body = rows.select("log", "batch_id", F.lit(1).alias("rank"), row.alias("value"))
+    rule = F.lit("-" * 43)
+    heading = F.concat_ws("\n", rule, F.concat(F.lit("Batch: "), "batch_id"), rule)
     heads = rows.select("log", "batch_id").distinct()
-    rule = F.lit("-------------------------------------------")
-    heads = heads.select("log", "batch_id", F.lit(0).alias("rank"), F.concat_ws("\n", rule, F.concat(F.lit("Batch: "), "batch_id"), rule).alias("value"))
+    heads = heads.select("log", "batch_id", F.lit(0).alias("rank"), heading.alias("value"))
     lines = heads.unionByName(body).repartition(logs, "log").sortWithinPartitions("log", "batch_id", "rank")
     lines.select("value").write.text(path)
 
@@ -245,12 +247,13 @@ def light_trim(spark, d):
 def typed_projection(spark, d):
     """The state as an all-text result with holes and unreadable cells."""
     s = _state(spark, d)
+    speed, battery = (numbers.round_2(F.col(c)).cast("string") for c in AVERAGES)
     rows = s.select(
         F.when(F.col("event_count") % 7 != 0, F.col("vehicle_id")).alias("vehicle_id"),
         times.as_text(F.col("window_start")).alias("window_start"),
         F.when(F.col("fault_count") > 0, times.as_text(F.col("window_end"))).alias("window_end"),
-        F.when(F.col("event_count") % 5 != 0, numbers.round_2(F.col("average_speed")).cast("string")).alias("average_speed"),
-        F.when(F.col("fault_count") % 4 == 3, "n/a").otherwise(numbers.round_2(F.col("average_battery_level")).cast("string")).alias("average_battery_level"),
+        F.when(F.col("event_count") % 5 != 0, speed).alias("average_speed"),
+        F.when(F.col("fault_count") % 4 == 3, "n/a").otherwise(battery).alias("average_battery_level"),
         F.col("maximum_temperature").cast("string").alias("maximum_temperature"),
         F.concat(F.col("fault_count").cast("string"), F.lit(".7")).alias("fault_count"),
         F.when(F.col("event_count") % 6 == 0, "").otherwise(F.col("event_count").cast("string")).alias("event_count"),

@@ -157,6 +157,7 @@ def test_snapshot_diff(records, spark):
     then = cl.latest_window_state(changes.filter("batch_id = 0"))
     diff = {(r.vehicle_id, r.window_start.minute): r.change for r in cl.snapshot_diff(now, then).collect()}
     assert diff == {("BMW-100", 0): "updated", ("BMW-100", 5): "new"}
+    assert cl.new_window_count(cl.snapshot_diff(now, then)).first().new_windows == 1
     assert cl.snapshot_diff(now, now).count() == 0
     first = cl.snapshot_diff(now, None)
     assert first.count() == 0 and first.columns == cl.snapshot_diff(now, then).columns
