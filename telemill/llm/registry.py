@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill.llm import host_rules, mixing, packing
+from telemill.llm import host_rules, mixing, ngram_join, packing, quality, token_store, warc
+from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL = {"op8_host_rules": host_rules.SQL, "op9_mixing": mixing.SQL}
+SQL = {"op1_ngram_jaccard": ngram_join.SQL, "op8_host_rules": host_rules.SQL, "op9_mixing": mixing.SQL, "op7_warc": warc.SQL}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,11 +22,26 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+@query
+def op1_ngram_jaccard(spark, d):
+    return ngram_join.jaccard_components(table(spark, d, "documents"), size=3, percent=90).drop("row")
+
+
+@query
+def op3_compression_quality(spark, d):
+    return quality.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query
 def op5_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"))
 
 
+@query
+def op7_warc(spark, d):
+    return warc.round_trip(spark, table(spark, d, "pages")).drop("target_uri", "payload")
+
+
 @query
 def op8_host_rules(spark, d):
     return host_rules.host_rules(table(spark, d, "documents"))
@@ -34,3 +50,13 @@ def op8_host_rules(spark, d):
 @query
 def op9_mixing(spark, d):
     return mixing.mix(table(spark, d, "documents")).drop("by_lap")
+
+
+@query
+def op10_token_orc(spark, d, tokenizer_path: str | None = None):
+    import public_tokenizers
+
+    path = scratch_dir(spark, "tokens")
+    tokenizer_path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
+    token_store.write_tokens(table(spark, d, "documents"), path, tokenizer_path, end_id=2)
+    return token_store.token_digests(spark, path)
