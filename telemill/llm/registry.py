@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill.llm import host_rules, mixing, ngram_join, packing, quality, token_store, warc
+from telemill.llm import host_rules, mixing, ngram_join, packing, quality, substrings, token_store, warc
 from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL = {"op1_ngram_jaccard": ngram_join.SQL, "op8_host_rules": host_rules.SQL, "op9_mixing": mixing.SQL, "op7_warc": warc.SQL}
+SQL = {"op1_ngram_jaccard": ngram_join.SQL, "op4_substring_dedup": substrings.SQL, "op8_host_rules": host_rules.SQL, "op9_mixing": mixing.SQL, "op7_warc": warc.SQL}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -32,6 +32,11 @@ def op3_compression_quality(spark, d):
     return quality.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@query
+def op4_substring_dedup(spark, d):
+    return substrings.removal_digests(table(spark, d, "documents"))
+
+
 @query
 def op5_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"))
