@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill.llm import host_rules, mixing, ngram_join, packing, quality, substrings, token_store, warc
+from telemill.llm import hmm, host_rules, mixing, ngram_join, packing, quality, substrings, token_store, warc
 from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op5_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"))
 
 
+@query
+def op6_hidden_markov(spark, d):
+    return hmm.scores(table(spark, d, "documents"))
+
+
 @query
 def op7_warc(spark, d):
     return warc.round_trip(spark, table(spark, d, "pages")).drop("target_uri", "payload")
