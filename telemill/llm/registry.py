@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill.llm import hmm, host_rules, mixing, ngram_join, packing, quality, substrings, token_store, warc
+from telemill.llm import hmm, host_rules, mixing, near_vectors, ngram_join, packing, quality, substrings, token_store, warc
 from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL = {"op1_ngram_jaccard": ngram_join.SQL, "op4_substring_dedup": substrings.SQL, "op8_host_rules": host_rules.SQL, "op9_mixing": mixing.SQL, "op7_warc": warc.SQL}
+SQL = {
+    "op1_ngram_jaccard": ngram_join.SQL,
+    "op2_binary_codes": near_vectors.SQL,
+    "op4_substring_dedup": substrings.SQL,
+    "op7_warc": warc.SQL,
+    "op8_host_rules": host_rules.SQL,
+    "op9_mixing": mixing.SQL,
+}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -27,6 +34,11 @@ def op1_ngram_jaccard(spark, d):
     return ngram_join.jaccard_components(table(spark, d, "documents"), size=3, percent=90).drop("row")
 
 
+@query
+def op2_binary_codes(spark, d):
+    return near_vectors.near_duplicates(table(spark, d, "embeddings"))
+
+
 @query
 def op3_compression_quality(spark, d):
     return quality.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
