@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemill.llm.components import components
 from telemill.llm.words import hash_words, kept, mixed, ragged, slices, split_words
@@ -35,7 +35,7 @@ BLOCK = (
     "part long, chunk long, hashes binary, members binary, counts binary,"
     " ids array<long>, sizes array<int>, own_hashes binary, own_members binary"
 )
-SETS = "row long, doc_id long, n_shingles long, shared int, print1 long, print2 long, hashes array<long>, counts array<int>"
+SETS = "row long, doc_id long, text_hash long, n_shingles long, shared int, print1 long, print2 long, hashes array<long>, counts array<int>"
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -66,8 +66,11 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(found)
 
 
-def chunk_blocks(chunk: int, ids: pa.Array, docs: np.ndarray, hashes: np.ndarray, parts: int) -> Iterator[dict]:
-    """A block for each part, and one with the chunk's documents and their frequent shingles."""
+def chunk_blocks(chunk: int, ids: list, docs: np.ndarray, hashes: np.ndarray, parts: int) -> Iterator[dict]:
+    """A block for each part, and one with the chunk's documents and their frequent shingles.
+
+    ``ids`` has two numbers for each document, its id and the hash of its text.
+    """
     first = np.argsort(docs, kind="stable")
     docs, hashes = docs[first].astype(np.uint32), hashes[first]
     order = np.argsort(hashes, kind="stable")
@@ -83,7 +86,7 @@ def chunk_blocks(chunk: int, ids: pa.Array, docs: np.ndarray, hashes: np.ndarray
         "part": parts + chunk % parts,
         "chunk": chunk,
         "ids": ids,
-        "sizes": np.bincount(docs, minlength=len(ids)).astype(np.int32),
+        "sizes": np.bincount(docs, minlength=len(ids) // 2).astype(np.int32),
         "own_hashes": packed(hashes[of_hot]),
         "own_members": packed(docs[of_hot]),
     }
@@ -175,14 +178,15 @@ def sets_of_chunk(chunk: pa.Table, percent: int) -> pa.Table:
     offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), mask=np.append(~possible, False))
     columns = [
         pa.array(head["chunk"] + np.arange(len(n))),
-        pa.array(head["ids"], pa.int64()),
+        pa.array(head["ids"][0::2], pa.int64()),
+        pa.array(head["ids"][1::2], pa.int64()),
         pa.array(n),
         pa.array(shared.astype(np.int32)),
         *prints,
         pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
         pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
     ]
-    return pa.Table.from_arrays(columns, ["row", "doc_id", "n_shingles", "shared", "print1", "print2", "hashes", "counts"])
+    return pa.Table.from_arrays(columns, ["row", "doc_id", "text_hash", "n_shingles", "shared", "print1", "print2", "hashes", "counts"])
 
 
 def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -196,9 +200,8 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             if not base:
                 return
-            all_ids = pa.concat_arrays(ids).to_pylist()
             pending = []
-            for block in chunk_blocks(rows[0], all_ids, np.concatenate(docs_), np.concatenate(hashes), parts):
+            for block in chunk_blocks(rows[0], ids, np.concatenate(docs_), np.concatenate(hashes), parts):
                 pending.append(block)
                 if len(pending) == 64:
                     yield _batch(pending)
@@ -207,7 +210,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
         for batch in slices(batches):
             d, h = shingles(batch["text"], size)
-            ids.append(batch["doc_id"])
+            ids += [x for pair in zip(batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist()) for x in pair]
             rows.append(batch["row"][0].as_py())
             docs_.append(d + base)
             hashes.append(h)
@@ -218,7 +221,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 ids, rows, docs_, hashes, base, held = [], [], [], [], 0, 0
         yield from flush()
 
-    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    numbered = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
     blocks = numbered.mapInArrow(cut, BLOCK).groupBy("part").applyInArrow(shared_in_part, BLOCK)
     sets = blocks.groupBy("chunk").applyInArrow(lambda t: sets_of_chunk(t, percent), SETS)
     return kept(sets, "shingle_sets")
@@ -281,13 +284,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``row, doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``).
+    """``doc_id, text_hash, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``).
 
     Documents link if their sets of ``size``-word shingles have a Jaccard similarity of
     ``percent`` / 100 or more (at least 70); the component is the smallest id reachable over links.
     A text of fewer words is one shingle; null texts and texts without words have none and link
     with nothing. Repeated ids are separate rows; null ids count only where a component has no
-    other. Equal sets are one class from the start, so groups of copies cost one comparison.
+    other. ``text_hash`` is Spark's ``xxhash64`` of the text. Equal sets are one class from the start, so groups of copies cost one comparison.
     """
     if percent < 70:
         raise ValueError("prefixes of pairs need a similarity of 0.7 or more")
@@ -317,11 +320,27 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     copies = firsts.filter("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))
     found = kept(components(links.union(copies)), "components")
 
-    rows = sets.select("row", "doc_id", "n_shingles")
+    rows = sets.select("row", "doc_id", "text_hash", "n_shingles")
     rows = rows.join(found.withColumnRenamed("node", "row"), "row", "left")
     rows = kept(rows.withColumn("component", F.coalesce("component", "row")), "members")
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component").select("row", "doc_id", "n_shingles", "component_id")
+    return rows.join(least, "component").select("doc_id", "text_hash", "n_shingles", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs`` of which no linked document has a smaller id.
+
+    Rows that agree in id and text count as one and one of them stays; a row without id goes if a
+    linked document has one, else it stays.
+    """
+    classes = jaccard_components(docs, size, percent)
+    gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_gone"))
+    rows = docs.withColumn("_hash", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_gone"))
+    order = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
+    left = rows.join(gone, same, "left_anti").withColumn("_copy", F.row_number().over(order))
+    return left.filter("_copy = 1").select(*docs.columns)
 
 
 SQL = r"""
