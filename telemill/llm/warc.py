@@ -119,7 +119,7 @@ def write_archive(path: str, records: Iterator[bytes], limit: int = ARCHIVE_BYTE
     compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
     store, name = _store(path)
     store.create_dir(name.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(name) as out:
+    with store.open_output_stream(name, compression=None) as out:
         if dictionary:
             packed = zstandard.ZstdCompressor(level=3).compress(dictionary.as_bytes())
             written += out.write(struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed)
@@ -137,7 +137,7 @@ def read_archive(path: str) -> Iterator[bytes]:
     import zstandard
 
     store, name = _store(path)
-    with store.open_input_stream(name) as file:
+    with store.open_input_stream(name, compression=None) as file:
         start, dictionary = file.read(8), None
         if len(start) == 8 and struct.unpack("<I", start[:4])[0] == DICTIONARY_MAGIC:
             packed = file.read(struct.unpack("<I", start[4:])[0])
