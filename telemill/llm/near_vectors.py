@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.llm.components import components
@@ -147,6 +148,11 @@ def links_in_groups(reps: DataFrame, bits: int, bands: int, limit: float) -> Dat
             yield from links(finder, rest)
 
     def links(finder: PairFinder, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        sizes = pc.binary_length(table["vector"])
+        for size in pc.unique(sizes):
+            yield from links_of_size(finder, table.filter(pc.equal(sizes, size)))
+
+    def links_of_size(finder: PairFinder, table: pa.Table) -> Iterator[pa.RecordBatch]:
         groups = table["group"].to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
         sizes = np.diff(np.append(starts, len(groups)))
