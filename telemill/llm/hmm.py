@@ -110,7 +110,8 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     top = counts.filter(F.col("c") >= least).toPandas().sort_values(["c", "hash"], ascending=[False, True], ignore_index=True)
     totals = counts.groupBy("bucket").agg(F.sum("c").alias("words"), F.count("*").alias("different")).toPandas()
     words, different = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    words[totals["bucket"]], different[totals["bucket"]] = totals["words"], totals["different"]
+    at = totals["bucket"].to_numpy(np.int64)
+    words[at], different[at] = totals["words"].to_numpy(np.int64), totals["different"].to_numpy(np.int64)
     all_words, all_different = int(words.sum()), int(different.sum())
     own = top.iloc[:OWN_SYMBOLS]
     np.subtract.at(words, own["bucket"].to_numpy(np.int64), own["c"].to_numpy(np.int64))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemill.llm.words import SPACE_CLASS, kept, word_array
+from telemill.llm.words import kept, word_array
 
 SHARE = 1.5
 WEIGHTS = (5, 2, 1)
@@ -148,14 +148,14 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix as documents: one row for each document and round that takes words of it.
 
     Whole documents stay as they are; of others the first words remain, joined by single spaces,
-    and ``n_chars`` is their new length. Documents of which nothing is taken are absent.
+    and ``n_chars`` is their new length. Documents of which nothing is taken are absent. Names of
+    columns that begin with two underscores are reserved.
     """
-    rows = kept(docs.withColumn("mix_row", F.monotonically_increasing_id()), "mix_rows")
-    taken = mix(rows, row="mix_row", **settings).select("mix_row", "size", F.explode("by_lap").alias("lap_words"))
-    taken = taken.filter("lap_words > 0")
-    whole = F.col("lap_words") == F.col("size")
-    part = F.array_join(F.slice(word_array(F.col("text")), F.lit(1), F.col("lap_words").cast("int")), " ")
-    cut = rows.join(taken, "mix_row").withColumn("text", F.when(whole, F.col("text")).otherwise(part))
+    rows = kept(docs.withColumn("__row", F.monotonically_increasing_id()), "mix_rows")
+    taken = mix(rows, row="__row", **settings).select("__row", F.col("size").alias("__size"), F.explode("by_lap").alias("__words"))
+    whole = F.col("__words") == F.col("__size")
+    part = F.array_join(F.slice(word_array(F.col("text")), F.lit(1), F.col("__words").cast("int")), " ")
+    cut = rows.join(taken.filter("__words > 0"), "__row").withColumn("text", F.when(whole, F.col("text")).otherwise(part))
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.llm.ngram_join import BLOCK, MARK, PART_BYTES, _batch, chunk_blocks, packed, shared_in_part, unpacked
 from telemill.llm.words import hash_words, mixed, ragged, slices, split_words
@@ -144,7 +144,7 @@ def nodes(prefixes: np.ndarray, rests: np.ndarray, doc_ids: np.ndarray) -> tuple
     return order, least
 
 
-def removed_starts(docs: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
+def removed_starts(packed_docs: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
     """``REMOVED``: starts of the windows that start in a document with a smaller id as well."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +201,7 @@ def removed_starts(docs: DataFrame, anchors: DataFrame, parts: int) -> DataFrame
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(starts[order].astype(np.int32)))
         return pa.Table.from_arrays([pa.array(keys[has, 0]), pa.array(keys[has, 1]), lists], ["doc_id", "text_hash", "starts"])
 
-    joined = docs.select("doc_id", "text_hash", "packed_text").join(anchors, ["doc_id", "text_hash"])
+    joined = packed_docs.join(anchors, ["doc_id", "text_hash"])
     rows = joined.mapInArrow(index, SUFFIXES).groupBy("part").applyInArrow(subtrees, SUFFIXES)
     found = rows.groupBy("chunk").applyInArrow(gather, REMOVED)
     return found.groupBy("doc_id", "text_hash").agg(F.first("starts").alias("starts"))
@@ -218,13 +218,16 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.append_column("text", texts)
 
 
-@F.pandas_udf("binary")
-def _pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    import zstandard
+def _packed_text(text: Column) -> Column:
+    @F.pandas_udf("binary")
+    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import zstandard
+
+        compressor = zstandard.ZstdCompressor(level=3)
+        for texts in batches:
+            yield pd.Series([compressor.compress((t or "").encode()) for t in texts], dtype=object)
 
-    compressor = zstandard.ZstdCompressor(level=3)
-    for texts in batches:
-        yield pd.Series([compressor.compress((t or "").encode()) for t in texts], dtype=object)
+    return pack(text)
 
 
 def kept_words(text: str, starts, rejoin: bool) -> tuple[int, int, str]:
@@ -247,15 +250,17 @@ def remove_repeats(docs: DataFrame, rejoin: bool = False) -> DataFrame:
     with a smaller ``doc_id``; windows are judged on the input. What is left of a shortened text is
     joined by single spaces, with ``rejoin`` that of all texts. Null texts have no words and become
     empty. Rows without id neither lose words nor count as earlier; rows of one id do not count
-    against each other; repeated rows are shortened alike.
+    against each other; repeated rows are shortened alike. Other columns stay as they are; names
+    that begin with two underscores are reserved.
     """
     import zstandard
 
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumns({"text_hash": F.xxhash64(text), "packed_text": _pack(text)})
+    keyed = docs.withColumns({"__hash": F.xxhash64(text), "__packed": _packed_text(text)})
+    packed_docs = keyed.select("doc_id", F.col("__hash").alias("text_hash"), F.col("__packed").alias("packed_text"))
     plain = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).filter("doc_id is not null")
     parts = _parts(plain)
-    found = removed_starts(keyed, shared_anchors(plain, parts), parts)
+    found = removed_starts(packed_docs, shared_anchors(plain, parts), parts)
 
     @F.pandas_udf("n_words long, n_removed long, text string")
     def shorten(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -264,10 +269,10 @@ def remove_repeats(docs: DataFrame, rejoin: bool = False) -> DataFrame:
             rows = [kept_words(decompressor.decompress(t).decode(), s, rejoin) for t, s in zip(texts, starts)]
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "text"])
 
-    named = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("starts").alias("_starts"))
-    joined = keyed.drop("text").join(named, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    joined = joined.withColumn("_out", shorten("packed_text", "_starts"))
-    out = {c: F.col(f"_out.{c}") for c in ("text", "n_words", "n_removed")}
+    named = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of"), F.col("starts").alias("__starts"))
+    joined = keyed.drop("text").join(named, (F.col("doc_id") == F.col("__id")) & (F.col("__hash") == F.col("__of")), "left")
+    joined = joined.withColumn("__out", shorten("__packed", "__starts"))
+    out = {c: F.col(f"__out.{c}") for c in ("text", "n_words", "n_removed")}
     return joined.withColumns(out).select(*docs.columns, *[c for c in ("n_words", "n_removed") if c not in docs.columns])
 
 
