@@ -17,7 +17,7 @@ from telemill.functions import numbers, text, times
 from telemill.operators import analytics as an, changelog as cl, decode, dedup
 from telemill.operators import normalize as no, validate as va, windows as wi
 from telemill.plans import batch as plan
-from telemill.schema import CHANGELOG, EVENT, WINDOW_COLUMNS
+from telemill.schema import CHANGELOG, DEAD_LETTER, EVENT, WINDOW_COLUMNS
 from telemill.sources import console_log, curated, feed, kafka
 from telemill.sources.scratch import scratch_dir
 from telemill.streaming import job, metrics
@@ -99,7 +99,7 @@ def _state(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def kafka_encode(spark, d):
-    view = feed.telemetry_view(feed.spread(feed.events_table(spark, d))).select(*EVENT.fieldNames())
+    view = feed.telemetry_view(feed.events_table(spark, d)).select(*EVENT.fieldNames())
     sent = kafka.encode_messages(view)
     back = F.inline(F.array(F.from_json(F.col("value").cast("string"), EVENT)))
     return sent.select(F.col("key").cast("string").alias("message_key"), back).withColumns(_no_nan("temperature"))
@@ -152,9 +152,12 @@ def changelog_text_scan(spark, d):
     return cl.latest_window_state(console_log.read_changelog_text(spark, base))
 
 
-def _write_console_logs(changes: DataFrame, path: str, logs: int = 4) -> None:
-    """Print the changelog the way the console sink does, as ``logs`` files."""
-    rows = changes.withColumn("log", F.pmod(F.xxhash64("vehicle_id", "window_start"), F.lit(logs)))
+def _write_console_logs(changes: DataFrame, path: str) -> None:
+    """Print the changelog the way the console sink does, one log per vehicle and day.
+
+    A task prints its logs one after the other; how many there are follows the data.
+    """
+    rows = changes.withColumn("log", F.xxhash64("vehicle_id", F.to_date("window_start")))
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in WINDOW_COLUMNS]
     row = F.concat(F.lit("|"), F.concat_ws("|", *cells), F.lit("|"))
     body = rows.select("log", "batch_id", F.lit(1).alias("rank"), row.alias("value"))
@@ -162,7 +165,7 @@ def _write_console_logs(changes: DataFrame, path: str, logs: int = 4) -> None:
     heading = F.concat_ws("\n", rule, F.concat(F.lit("Batch: "), "batch_id"), rule)
     heads = rows.select("log", "batch_id").distinct()
     heads = heads.select("log", "batch_id", F.lit(0).alias("rank"), heading.alias("value"))
-    lines = heads.unionByName(body).repartition(logs, "log").sortWithinPartitions("log", "batch_id", "rank")
+    lines = heads.unionByName(body).repartition("log").sortWithinPartitions("log", "batch_id", "rank")
     lines.select("value").write.text(path)
 
 
@@ -490,8 +493,8 @@ def ingest_outcomes(spark, d):
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
     """The feed as a stream over the same table."""
-    # A pattern, because a plain path would have to be a folder.
-    events = spark.readStream.schema(feed.EVENTS).parquet(f"{d}/events.parquet*")
+    # A pattern, because a plain path would have to be a folder; it matches this name only.
+    events = spark.readStream.schema(feed.EVENTS).parquet(f"{d}/events.parque[t]")
     return feed.kafka_records(feed.telemetry_view(events))
 
 
@@ -512,7 +515,7 @@ def stream_dead_letter(spark, d):
     settings = _settings(spark, "stream-route")
     job.start_route(_stream(spark, d), settings, {"availableNow": True}).awaitTermination()
     path = f"{settings.output}/{curated.DEAD_LETTER_DIR}"
-    return spark.read.parquet(path).select("json_payload", "error_reason", "kafka_timestamp")
+    return spark.read.schema(DEAD_LETTER).parquet(path).select(*DEAD_LETTER.fieldNames())
 
 
 @query
