@@ -1,7 +1,8 @@
 """Curated storage: date-partitioned window aggregates and the other per-batch outputs.
 
 Executors write directly. Every micro-batch owns its ``batch_id=N`` directories and overwrites
-only those, so a batch that is replayed after a failure leaves one copy.
+only those, so a batch that is replayed after a failure leaves one copy, provided that its dates
+come from the records (``arrival_date``, ``event_date``) and not from the clock.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ def today() -> str:
 def _write_batch(df: DataFrame, path: str, fmt: str, batch_id: int | Column, date: str | Column | None) -> None:
     date = F.lit(today()) if date is None else F.lit(date) if isinstance(date, str) else date
     batch = F.lit(batch_id) if isinstance(batch_id, int) else batch_id
+    rows = df.withColumns({"date": date, "batch_id": batch.cast("bigint")})
+    if not isinstance(batch_id, int):
+        # Many batches at once: AQE sizes the files, small partitions are merged, large ones split.
+        rows = rows.hint("rebalance", "date", "batch_id")
     (
-        df.withColumns({"date": date, "batch_id": batch.cast("bigint")})
-        # AQE sizes the output files: small partitions are merged, large or skewed ones split.
-        .hint("rebalance", "date", "batch_id")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "batch_id")
         .format(fmt)
@@ -62,14 +64,19 @@ def event_date() -> Column:
     return F.date_format("window_start", "yyyy-MM-dd")
 
 
-def write_raw(records: DataFrame, base: str, batch_id: int | Column, date: str | None = None) -> str:
+def arrival_date() -> Column:
+    """Date of arrival at the broker; unlike the clock it is the same when a batch is replayed."""
+    return F.coalesce(F.date_format("kafka_timestamp", "yyyy-MM-dd"), F.lit("unknown"))
+
+
+def write_raw(records: DataFrame, base: str, batch_id: int | Column, date: str | Column | None = None) -> str:
     """Records as line-delimited JSON under the raw prefix."""
     path = f"{base}/{RAW_DIR}"
     _write_batch(records, path, "json", batch_id, date)
     return path
 
 
-def write_dead_letter(rejected: DataFrame, base: str, batch_id: int | Column, date: str | None = None) -> str:
+def write_dead_letter(rejected: DataFrame, base: str, batch_id: int | Column, date: str | Column | None = None) -> str:
     path = f"{base}/{DEAD_LETTER_DIR}"
     _write_batch(rejected, path, "parquet", batch_id, date)
     return path

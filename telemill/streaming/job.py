@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,6 +51,36 @@ class JobSettings:
     emit_metrics: bool = True
     rules: RuleSet = DEFAULT_RULES
     dedup_salts: int = 1
+    output_files: int = 8
+
+
+#: Batch ids a run has to itself.
+RUN_BATCHES = 1 << 40
+
+
+def _runs(spark: SparkSession, path: str) -> list[int]:
+    try:
+        return [r.run for r in spark.read.schema("run bigint").parquet(path).collect()]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+
+
+def first_batch_id(spark: SparkSession, settings: JobSettings) -> int:
+    """What a run adds to its batch ids, so that a fresh checkpoint never overwrites earlier output.
+
+    Runs into one output are numbered in order, a number stays with its checkpoint, and later runs
+    have larger ids, which makes their window states win.
+    """
+    mark, ledger = f"{settings.checkpoint}/run", f"{settings.output}/runs"
+    if known := _runs(spark, mark):
+        return known[0] * RUN_BATCHES
+    number = max(_runs(spark, ledger), default=-1) + 1
+    row = spark.range(number, number + 1).withColumnRenamed("id", "run").coalesce(1)
+    row.write.mode("append").parquet(ledger)
+    row.write.mode("overwrite").parquet(mark)
+    return number * RUN_BATCHES
 
 
 def parse_args(argv: Sequence[str] | None = None) -> JobSettings:
@@ -63,6 +94,7 @@ def parse_args(argv: Sequence[str] | None = None) -> JobSettings:
     parser.add_argument("--checkpoint", default=env("SPARK_CHECKPOINT_LOCATION", "./checkpoints/telemetry"))
     parser.add_argument("--output", required=True, help="base folder of all outputs")
     parser.add_argument("--dedup-salts", type=int, default=1, help="split copies of one event over this many tasks")
+    parser.add_argument("--output-files", type=int, default=8, help="tasks that write one batch of windows")
     parser.add_argument("--console", action="store_true", help="also print every aggregate batch")
     args = parser.parse_args(argv)
     return JobSettings(**vars(args))
@@ -110,12 +142,14 @@ def _cached(work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int]
     return run
 
 
-def route_batch(settings: JobSettings) -> Callable[[DataFrame, int], None]:
+def route_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataFrame, int], None]:
     """Raw copy, dead letters and input counters of one micro-batch of flagged records."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        curated.write_raw(batch.select("json_payload", "kafka_timestamp"), settings.output, batch_id)
-        curated.write_dead_letter(dead_letter(batch), settings.output, batch_id)
+        batch_id += first_id
+        date = curated.arrival_date()
+        curated.write_raw(batch.select("json_payload", "kafka_timestamp"), settings.output, batch_id, date)
+        curated.write_dead_letter(dead_letter(batch), settings.output, batch_id, date)
         received, rejected = batch.agg(F.count(F.lit(1)), F.count_if(~F.col("is_valid"))).first()
         if rejected:
             logger.warning("batch %d: %d invalid records", batch_id, rejected)
@@ -132,11 +166,15 @@ def route_batch(settings: JobSettings) -> Callable[[DataFrame, int], None]:
     return _cached(work)
 
 
-def aggregate_batch(settings: JobSettings) -> Callable[[DataFrame, int], None]:
-    """Curated rows, counters and console print of one micro-batch of window aggregates."""
+def aggregate_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataFrame, int], None]:
+    """Curated rows, counters and console print of one micro-batch of window aggregates.
+
+    At most ``output_files`` tasks write, however many partitions the state has.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        curated.write_curated(batch, settings.output, batch_id)
+        batch_id += first_id
+        curated.write_curated(batch.coalesce(settings.output_files), settings.output, batch_id, curated.event_date())
         if settings.console:
             print(f"{'-' * 43}\nBatch: {batch_id}\n{'-' * 43}")
             batch.show(truncate=False)
@@ -168,23 +206,22 @@ def _windows(records: DataFrame, settings: JobSettings) -> DataFrame:
 
 def start_route(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
     flagged = flag_events(records, settings.rules)
-    return (
-        _writer(flagged, "append", settings.checkpoint, "route", trigger).foreachBatch(route_batch(settings)).start()
-    )
+    work = route_batch(settings, first_batch_id(records.sparkSession, settings))
+    return _writer(flagged, "append", settings.checkpoint, "route", trigger).foreachBatch(work).start()
 
 
 def start_aggregates(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
     """Update mode: a window is written again whenever it changes."""
     windows = _windows(records, settings)
-    return (
-        _writer(windows, "update", settings.checkpoint, "aggregates", trigger)
-        .foreachBatch(aggregate_batch(settings))
-        .start()
-    )
+    work = aggregate_batch(settings, first_batch_id(records.sparkSession, settings))
+    return _writer(windows, "update", settings.checkpoint, "aggregates", trigger).foreachBatch(work).start()
 
 
 def start_final_windows(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
-    """Append mode: every window once, when the watermark has passed it (exactly-once file sink)."""
+    """Append mode: every window once, when the watermark has passed it (exactly-once file sink).
+
+    A bounded run ends with the windows above the watermark still open; they are not written.
+    """
     windows = _windows(records, settings)
     dated = windows.withColumn("date", curated.event_date())
     return (
@@ -223,19 +260,24 @@ def run(
         metrics.emit_status(spark, settings.output, running=True)
     queries: list[StreamingQuery] = []
     try:
-        queries = [start_route(records, settings, trigger), start_aggregates(records, settings, trigger)]
+        # before the first start: a query that fails while the next one starts must not be forgotten
+        spark.streams.resetTerminated()
+        for start in (start_route, start_aggregates):
+            queries.append(start(records, settings, trigger))
         bounded = trigger is not None and ("availableNow" in trigger or "once" in trigger)
         if bounded:
             for query in queries:
                 query.awaitTermination()
         else:
-            spark.streams.resetTerminated()
             spark.streams.awaitAnyTermination()
+            for query in queries:
+                if query.exception():
+                    raise query.exception()
     except KeyboardInterrupt:
         logger.info("interrupted, stopping")
     except Exception:
         if settings.emit_metrics:
-            metrics.emit_batch_metrics(spark, settings.output, "errors", 0, pipeline_errors=1)
+            metrics.emit_error(spark, settings.output)
         raise
     finally:
         for query in queries:

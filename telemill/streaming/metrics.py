@@ -60,6 +60,22 @@ def _append(rows: DataFrame, path: str, mode: str = "append") -> None:
         logger.warning("could not write metrics to %s", path, exc_info=True)
 
 
+def put(spark: SparkSession, base: str, name: str, value: float, unit: str = "Count") -> None:
+    """Write one point of any metric, next to all earlier ones."""
+    row = spark.range(1).select(
+        F.lit(None).cast("bigint").alias("batch_id"),
+        F.lit(name).alias("metric"),
+        F.lit(float(value)).alias("value"),
+        F.lit(unit).alias("unit"),
+    )
+    _append(row, f"{base}/{METRICS_DIR}/query=points/batch={uuid.uuid4().hex}")
+
+
+def emit_error(spark: SparkSession, base: str) -> None:
+    """Count one failure of the job."""
+    put(spark, base, COUNTERS["pipeline_errors"], 1)
+
+
 def emit_batch_metrics(spark: SparkSession, base: str, query: str, batch_id: int, **counters: int) -> None:
     """Write one micro-batch's counters; a replayed batch replaces its own."""
     columns = [f"CAST({batch_id} AS BIGINT) AS batch_id"]

@@ -1,12 +1,13 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from conftest import event
 from pyspark.sql import functions as F
 
-from telemill.operators import analytics as an, changelog as cl
+from telemill.operators import analytics as an, changelog as cl, validate as va
 from telemill.schema import KAFKA_RECORD, WINDOW_COLUMNS
 from telemill.sources import console_log, curated
 from telemill.streaming import job, metrics
@@ -188,3 +189,66 @@ def test_settings_from_arguments_and_environment(monkeypatch):
     got = job.parse_args(["--output", "/data/out", "--topic", "t", "--watermark-delay", "30 seconds"])
     assert (got.window_duration, got.watermark_delay, got.topic, got.output) == ("1 minute", "30 seconds", "t", "/data/out")
     assert got.bootstrap_servers == "localhost:9092" and not got.console
+
+
+def test_fresh_checkpoint_adds_to_earlier_output_and_wins(spark, script, settings, tmp_path):
+    script.arrive(at("10:00:00", 10), "x")
+    job.run(spark, settings, script.stream(), NOW)
+    (tmp_path / "in" / "001.parquet").rename(tmp_path / "old.parquet")
+    script.arrive(at("10:00:30", 40), at("10:10:00", 40), "y", "z")
+    again = job.JobSettings(**{**vars(settings), "checkpoint": str(tmp_path / "fresh")})
+    job.run(spark, again, script.stream(), NOW)
+    assert state(spark, settings) == {("BMW-1", "10:00"): (1, 40.0), ("BMW-1", "10:10"): (1, 40.0)}
+    assert curated.read_curated(spark, settings.output).count() == 3
+    assert spark.read.parquet(f"{settings.output}/{curated.DEAD_LETTER_DIR}").count() == 3
+    assert spark.read.json(f"{settings.output}/{curated.RAW_DIR}").count() == 6
+    assert job.first_batch_id(spark, settings) == 0 and job.first_batch_id(spark, again) == job.RUN_BATCHES
+
+
+def test_replay_after_midnight_leaves_one_copy(spark, script, settings, monkeypatch):
+    script.arrive("x", at("10:00:00"))
+    flagged = va.flag_events(spark.read.schema(KAFKA_RECORD).parquet(str(script.folder)))
+    job.route_batch(settings)(flagged, 3)
+    monkeypatch.setattr(curated, "today", lambda: "2099-01-01")
+    job.route_batch(settings)(flagged, 3)
+    assert spark.read.json(f"{settings.output}/{curated.RAW_DIR}").count() == 2
+    assert spark.read.parquet(f"{settings.output}/{curated.DEAD_LETTER_DIR}").count() == 1
+
+
+def test_first_query_failing_during_start_is_not_forgotten(spark, script, settings, tmp_path, monkeypatch):
+    blocked = tmp_path / "out" / "raw"
+    blocked.parent.mkdir()
+    blocked.write_text("in the way")
+    script.arrive(at("10:00:00"))
+    start = job.start_aggregates
+
+    def late(*args):
+        deadline = time.monotonic() + 60
+        while any(q.name == "route" for q in spark.streams.active) and time.monotonic() < deadline:
+            time.sleep(0.2)
+        return start(*args)
+
+    monkeypatch.setattr(job, "start_aggregates", late)
+    with pytest.raises(Exception):
+        job.run(spark, settings, script.stream())
+    assert not spark.streams.active
+
+
+def test_every_failure_counts(spark, settings):
+    for _ in range(3):
+        metrics.emit_error(spark, settings.output)
+    metrics.put(spark, settings.output, "Lag", 2.5, "Seconds")
+    rows = metrics.read_metrics(spark, settings.output)
+    assert rows.filter("metric = 'PipelineErrors'").agg(F.sum("value")).first()[0] == 3
+    assert rows.filter("metric = 'Lag'").first().unit == "Seconds"
+
+
+def test_stateful_sink_writes_few_files(spark, script, settings):
+    script.arrive(*[at(f"10:{m:02d}:00", vehicle=f"BMW-{m}") for m in range(60)])
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        run_aggregates(script, job.JobSettings(**{**vars(settings), "output_files": 2}))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert curated.read_curated(spark, settings.output).count() == 60
+    assert len({r[0] for r in curated.read_curated(spark, settings.output).selectExpr("_metadata.file_path").collect()}) <= 2
