@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -52,7 +52,24 @@ def is_malformed() -> Column:
     return F.when(nothing_parsed, F.from_json("json_payload", ANY_OBJECT).isNull()).otherwise(F.lit(False))
 
 
+def flatten_event_object(decoded: DataFrame, always: bool = False) -> DataFrame:
+    """``flatten_event_text`` with the whole object as a map of texts, ``_object``.
+
+    It is needed only to tell what a field that is null means, so rows without one have no
+    ``_object`` unless ``always``. The generator evaluates the parse once for everything above it.
+    """
+    some_null = reduce(or_, [F.col(f).isNull() for f in EVENT.fieldNames()])
+    parsed = F.from_json("json_payload", ANY_OBJECT)
+    whole = parsed if always else F.when(some_null, parsed)
+    return flatten_event_text(decoded).select("*", F.explode(F.array(whole)).alias("_object"))
+
+
+def is_no_object() -> Column:
+    """``is_malformed`` for frames of ``flatten_event_object``."""
+    nothing_parsed = reduce(and_, [F.col(f).isNull() for f in EVENT.fieldNames()])
+    return nothing_parsed & F.col("_object").isNull()
+
+
 def lacks_field(name: str) -> Column:
-    """True when the payload has no such key (a key holding null is not lacking)."""
-    keys = F.from_json("json_payload", ANY_OBJECT)
-    return F.when(F.col(name).isNull(), ~F.map_contains_key(keys, F.lit(name))).otherwise(F.lit(False))
+    """True when the payload has no such key (a key holding null is not lacking). Needs ``_object``."""
+    return F.when(F.col(name).isNull(), ~F.map_contains_key("_object", F.lit(name))).otherwise(F.lit(False))

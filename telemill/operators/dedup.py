@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemill.schema import ANY_OBJECT
 
@@ -55,15 +55,24 @@ def exact_dedup(events: DataFrame, columns: Sequence[str] | None = None) -> Data
     return events.select(*(columns or events.columns)).distinct()
 
 
+def last_entries(fields: str) -> Column:
+    """Entries of a parsed object; of a key that JSON repeats, the last value holds."""
+    entries = F.map_entries(fields)
+    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
+    repeated = F.size(F.array_distinct(F.map_keys(fields))) < F.size(fields)
+    return F.when(repeated, F.filter(entries, lambda e, i: ~later(e, i))).otherwise(entries)
+
+
 def exact_dedup_payloads(decoded: DataFrame) -> DataFrame:
     """Distinct JSON objects as a map column ``fields`` of key to text value.
 
     Two payloads are the same record when all their key-value pairs are, in whatever order and
-    spacing; an absent key differs from a null. Payloads that are not objects are left out.
+    spacing; an absent key differs from a null, and of a repeated key the last value holds.
+    Payloads that are not objects are left out.
     """
     # Exploding a one-element array evaluates the parse once per row. A map cannot be a grouping
     # key, its sorted entries can.
     parsed = decoded.select(F.explode(F.array(F.from_json("json_payload", ANY_OBJECT))).alias("fields"))
-    entries = F.sort_array(F.map_entries("fields"))
+    entries = F.sort_array(last_entries("fields"))
     distinct = parsed.filter("fields IS NOT NULL").select(entries.alias("entries")).distinct()
     return distinct.select(F.explode(F.array(F.map_from_entries("entries"))).alias("fields"))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.config import DEFAULT_RULES, INVALID, MALFORMED, MEASURES, REQUIRED_FIELDS, RuleSet
 from telemill.functions import numbers, text, times
-from telemill.operators.decode import decode_payload, flatten_event, flatten_event_text, is_malformed, lacks_field
+from telemill.operators.dedup import last_entries
+from telemill.operators.decode import decode_payload, flatten_event, flatten_event_object, is_malformed, is_no_object, lacks_field
 
 VALID_COLUMNS = (
     "vehicle_id",
@@ -101,9 +102,10 @@ def invalid_counts(flagged: DataFrame, batch: str = "batch_id") -> DataFrame:
 # --- rule-level messages (lenient path) ----------------------------------------------------
 
 
-def text_events(records: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Payload fields as text, and ``is_malformed``."""
-    return flatten_event_text(decode_payload(records, carry)).withColumn("is_malformed", is_malformed())
+def text_events(records: DataFrame, carry: Sequence[str] = (), whole: bool = False) -> DataFrame:
+    """Payload fields as text, ``is_malformed``, and ``_object`` (see ``flatten_event_object``)."""
+    events = flatten_event_object(decode_payload(records, carry), always=whole)
+    return events.withColumn("is_malformed", is_no_object())
 
 
 def light_trim(events: DataFrame) -> DataFrame:
@@ -179,16 +181,20 @@ def validation_errors(rules: RuleSet = DEFAULT_RULES) -> Column:
 
 
 def validate_rules(
-    records: DataFrame, rules: RuleSet = DEFAULT_RULES, carry: Sequence[str] = ()
+    records: DataFrame, rules: RuleSet = DEFAULT_RULES, carry: Sequence[str] = (), extra: bool = False
 ) -> DataFrame:
     """One row per record with ``valid`` and the ordered ``errors``.
 
-    Fields are trimmed text; measures are also there as numbers (``_speed`` and so on).
+    Fields are trimmed text; measures are also there as numbers (``_speed`` and so on). With
+    ``extra`` the payload's other keys follow as sorted entries in a column of that name.
     """
     # Exploding a one-element array pins `errors` to a single evaluation per row.
-    read = _read(light_trim(text_events(records, carry)))
+    read = _read(light_trim(text_events(records, carry, whole=extra)))
+    if extra:
+        others = F.filter(last_entries("_object"), lambda e: ~e["key"].isin(*REQUIRED_FIELDS))
+        read = read.withColumn("extra", F.sort_array(others))
     judged = read.select("*", F.explode(F.array(validation_errors(rules))).alias("errors"))
-    return judged.withColumn("valid", F.size("errors") == 0).drop("_iso", "_zone", "_absent")
+    return judged.withColumn("valid", F.size("errors") == 0).drop("_iso", "_zone", "_absent", "_object")
 
 
 def validate_split(judged: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:

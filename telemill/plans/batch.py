@@ -48,8 +48,11 @@ def state(
 def rule_checked_summaries(
     records: DataFrame, window_seconds: int = 300, rules: RuleSet = DEFAULT_RULES
 ) -> DataFrame:
-    """Rule-level validation, whole-record dedup, canonical codes, rounded window summaries."""
-    valid, _, _ = validate_split(validate_rules(records, rules))
+    """Rule-level validation, whole-record dedup, canonical codes, rounded window summaries.
+
+    Records are the same if all their keys and values are, also those no column is made of.
+    """
+    valid, _, _ = validate_split(validate_rules(records, rules, extra=True), carry=["extra"])
     clean = exact_dedup(valid).withColumns(
         {
             "vehicle_id": text.vehicle_id(F.col("vehicle_id"), lenient=True),

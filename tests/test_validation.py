@@ -1,10 +1,11 @@
 import pytest
-from conftest import event
+from conftest import DATA, event
 from hypothesis import given, settings, strategies as st, HealthCheck
 from pyspark.sql import functions as F
 
 from telemill.config import INVALID, MALFORMED, RuleSet
-from telemill.operators import decode, validate as va
+from telemill.operators import decode, dedup, normalize as no, validate as va
+from telemill.plans import batch as plan
 from telemill.schema import ANY_OBJECT, EVENT
 
 V, M, I = "valid", MALFORMED, INVALID
@@ -194,3 +195,31 @@ def test_skipping_the_second_parse_never_changes_what_is_malformed(records, payl
     decoded = decode.flatten_event(decode.decode_payload(records(payloads)))
     always = F.from_json("json_payload", ANY_OBJECT).isNull()
     assert decoded.filter(decode.is_malformed() != always).count() == 0
+
+
+def test_lenient_plans_parse_the_fields_once(records, plan_of):
+    raw = records([event()])
+    judged = va.validate_rules(raw)
+    for frame in (judged, va.dq_reason_counts(judged), no.normalize_events(raw)):
+        # one for the fields, one for rows with a null, whatever they are used for
+        assert plan_of(frame).count("from_json") == 2
+
+
+def test_of_a_repeated_key_the_last_value_holds(records):
+    raw = records(['{"a":1,"a":2}', '{"a":2}', '{"b":1,"a":1,"b":3}', '{"a":1,"b":3}', '{"a":2,"c":null}'])
+    rows = dedup.exact_dedup_payloads(decode.decode_payload(raw)).collect()
+    assert sorted(sorted(r.fields.items(), key=str) for r in rows) == [
+        [("a", "1"), ("b", "3")], [("a", "2")], [("a", "2"), ("c", None)]
+    ]
+
+
+def test_records_that_differ_in_another_key_are_different(records):
+    raw = records([event(seq=1), event(seq=2), event(seq=2)])
+    assert plan.rule_checked_summaries(raw).first().event_count == 2
+
+
+def test_plan_has_no_exchange_but_dedup_and_aggregate(spark, plan_of):
+    from telemill.plans.registry import QUERIES
+
+    assert plan_of(QUERIES["window_kpis"](spark, DATA)).count("Exchange hashpartitioning") == 2
+    assert "Exchange" not in plan_of(QUERIES["decode_payload"](spark, DATA))
