@@ -20,12 +20,12 @@ def numeric(c: Column) -> Column:
 
 def or_zero(c: Column) -> Column:
     """Result text to double, 0.0 when absent or unreadable."""
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+    return F.coalesce(numeric(c), F.lit(0.0))
 
 
 def or_zero_int(c: Column) -> Column:
     """Result text to bigint by way of double (``"3.7"`` is 3), 0 when absent or unreadable."""
-    return F.coalesce(c.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(numeric(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def or_empty(c: Column) -> Column:

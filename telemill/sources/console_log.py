@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from telemill.config import DEFAULT_RULES, RuleSet
+from telemill.functions.numbers import numeric
 from telemill.functions.text import strip
 from telemill.schema import WINDOW_COLUMNS
 
@@ -35,6 +36,10 @@ def _cells() -> Column:
     return F.transform(F.split(inner, r"\|", -1), lambda cell: strip(cell))
 
 
+def _typed(cell: Column, kind: str) -> Column:
+    return numeric(cell) if kind == "double" else cell.try_cast(kind)
+
+
 def read_changelog_text(spark: SparkSession, path: str, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Every window row of the logs under ``path`` with the batch it was printed in.
 
@@ -56,7 +61,7 @@ def read_changelog_text(spark: SparkSession, path: str, rules: RuleSet = DEFAULT
         .withColumn("cells", _cells())
         .filter((F.size("cells") >= len(WINDOW_COLUMNS)) & F.col("cells")[0].startswith(rules.id_prefix))
         .select(
-            *[F.get("cells", F.lit(i)).try_cast(t).alias(c) for i, (c, t) in enumerate(_CELL_TYPES.items())],
+            *[_typed(F.get("cells", F.lit(i)), t).alias(c) for i, (c, t) in enumerate(_CELL_TYPES.items())],
             F.coalesce("printed", "carried").alias("batch_id"),
         )
     )

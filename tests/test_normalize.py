@@ -85,6 +85,8 @@ def test_result_text_defaults(spark):
     values = ["3.7", "-3.7", "1e3", "n/a", "", None, "nan", "inf"]
     assert column(spark, values, numbers.or_zero_int) == [3, -3, 1000, 0, 0, 0, 0, 0]
     assert column(spark, values[:6], numbers.or_zero) == [3.7, -3.7, 1000.0, 0.0, 0.0, 0.0]
+    assert column(spark, ["12d", "1f", "0x1p3"], numbers.or_zero) == [0.0, 0.0, 0.0]
+    assert column(spark, ["12d", "1f", "0x1p3"], numbers.or_zero_int) == [0, 0, 0]
 
 
 def test_rounding_decides_ties_on_the_decimal_value(spark):
