@@ -3,6 +3,7 @@ connector; the connector itself has to be on the class path of the session that
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,7 +51,15 @@ def encode_messages(events: DataFrame, key: str = "vehicle_id") -> DataFrame:
     )
 
 
-def send_batch(events: DataFrame, bootstrap_servers: str, topic: str, **kwargs) -> None:
-    """Write events to a topic from the executors."""
-    options = write_options(bootstrap_servers, topic, **kwargs)
-    encode_messages(events).write.format("kafka").options(**options).save()
+def producer_options(bootstrap_servers: str | None = None, topic: str | None = None, **kwargs) -> dict[str, str]:
+    """``write_options`` with servers and topic from the environment where they are not given."""
+    servers = bootstrap_servers or os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
+    return write_options(servers, topic or os.environ.get("KAFKA_TOPIC", "telemetry-events"), **kwargs)
+
+
+def send_batch(
+    events: DataFrame, bootstrap_servers: str | None = None, topic: str | None = None, key: str = "vehicle_id", **kwargs
+) -> None:
+    """Write events to a topic from the executors, keyed by the column ``key``."""
+    options = producer_options(bootstrap_servers, topic, **kwargs)
+    encode_messages(events, key).write.format("kafka").options(**options).save()

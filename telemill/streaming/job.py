@@ -52,6 +52,23 @@ class JobSettings:
     rules: RuleSet = DEFAULT_RULES
     dedup_salts: int = 1
     output_files: int = 8
+    starting_offsets: str = "latest"
+    max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
+    fail_on_data_loss: bool = False
+    trigger: str | None = None
+
+    def source_options(self) -> dict[str, str]:
+        """Rate, parallelism and loss options of the broker source."""
+        given = {"maxOffsetsPerTrigger": self.max_offsets_per_trigger, "minPartitions": self.min_partitions}
+        options = {k: str(v) for k, v in given.items() if v is not None}
+        return options | {"failOnDataLoss": str(self.fail_on_data_loss).lower()}
+
+    def trigger_options(self) -> dict | None:
+        """``available-now`` handles what is there; anything else is the time between batches."""
+        if self.trigger is None:
+            return None
+        return {"availableNow": True} if self.trigger == "available-now" else {"processingTime": self.trigger}
 
 
 #: Batch ids a run has to itself.
@@ -95,6 +112,11 @@ def parse_args(argv: Sequence[str] | None = None) -> JobSettings:
     parser.add_argument("--output", required=True, help="base folder of all outputs")
     parser.add_argument("--dedup-salts", type=int, default=1, help="split copies of one event over this many tasks")
     parser.add_argument("--output-files", type=int, default=8, help="tasks that write one batch of windows")
+    parser.add_argument("--starting-offsets", default=JobSettings.starting_offsets, help="of a first run")
+    parser.add_argument("--max-offsets-per-trigger", type=int, help="records of one micro-batch at most")
+    parser.add_argument("--min-partitions", type=int, help="split the topic's partitions over so many tasks")
+    parser.add_argument("--fail-on-data-loss", action="store_true", help="stop when offsets have expired")
+    parser.add_argument("--trigger", help="'available-now', or the time between batches such as '10 seconds'")
     parser.add_argument("--console", action="store_true", help="also print every aggregate batch")
     args = parser.parse_args(argv)
     return JobSettings(**vars(args))
@@ -255,7 +277,14 @@ def run(
     With ``trigger={"availableNow": True}`` the job handles what is there and returns.
     """
     if records is None:
-        records = read_kafka_events(spark, settings.bootstrap_servers, settings.topic)
+        records = read_kafka_events(
+            spark,
+            settings.bootstrap_servers,
+            settings.topic,
+            starting_offsets=settings.starting_offsets,
+            extra=settings.source_options(),
+        )
+    trigger = trigger or settings.trigger_options()
     if settings.emit_metrics:
         metrics.emit_status(spark, settings.output, running=True)
     queries: list[StreamingQuery] = []

@@ -241,3 +241,11 @@ def test_headings_carry_over_splits_of_one_log(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.set("spark.sql.files.openCostInBytes", opening)
     assert sorted((r.vehicle_id, r.batch_id) for r in rows) == sorted(want)
+
+
+def test_producer_settings_from_the_environment(monkeypatch):
+    monkeypatch.setenv("KAFKA_TOPIC", "other")
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "b:1")
+    options = kafka.producer_options(retries=5)
+    assert (options["topic"], options["kafka.bootstrap.servers"], options["kafka.retries"]) == ("other", "b:1", "5")
+    assert kafka.producer_options("c:2", "mine")["topic"] == "mine"

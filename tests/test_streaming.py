@@ -252,3 +252,16 @@ def test_stateful_sink_writes_few_files(spark, script, settings):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert curated.read_curated(spark, settings.output).count() == 60
     assert len({r[0] for r in curated.read_curated(spark, settings.output).selectExpr("_metadata.file_path").collect()}) <= 2
+
+
+def test_source_and_trigger_settings():
+    got = job.parse_args(
+        ["--output", "o", "--starting-offsets", "earliest", "--max-offsets-per-trigger", "500", "--min-partitions", "6",
+         "--fail-on-data-loss", "--trigger", "10 seconds"]
+    )
+    assert got.starting_offsets == "earliest"
+    assert got.source_options() == {"maxOffsetsPerTrigger": "500", "minPartitions": "6", "failOnDataLoss": "true"}
+    assert got.trigger_options() == {"processingTime": "10 seconds"}
+    plain = job.parse_args(["--output", "o"])
+    assert plain.source_options() == {"failOnDataLoss": "false"} and plain.trigger_options() is None
+    assert job.parse_args(["--output", "o", "--trigger", "available-now"]).trigger_options() == {"availableNow": True}
