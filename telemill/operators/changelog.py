@@ -12,8 +12,6 @@ from telemill.config import DEFAULT_WINDOW
 from telemill.operators.windows import is_fault
 from telemill.schema import WINDOW_COLUMNS, WINDOW_KEY
 
-SNAPSHOT_KEY = ("vehicle_id", "window_start")
-
 
 def update_changelog(
     events: DataFrame, window_duration: str = DEFAULT_WINDOW, batch: str = "batch_id", fault=None
@@ -84,22 +82,23 @@ def batch_counts(state: DataFrame) -> DataFrame:
 def snapshot_diff(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     """Windows that appeared (``new``) or gained events (``updated``) since ``previous``.
 
-    The very first snapshot (``previous`` is None) has nothing to differ from: no rows.
+    The very first snapshot (``previous`` is None) has nothing to differ from: no rows. Rows without
+    a complete key are left out.
     """
     if previous is None:
         return current.withColumn("change", F.lit("new")).filter(F.lit(False))
-    before = previous.select(
-        *[F.col(k).alias(f"_{k}") for k in SNAPSHOT_KEY], F.col("event_count").alias("_before")
-    )
-    # Null-safe equality adds no null filter to one side only, so two snapshots of one changelog
-    # keep identical plans and share their exchanges.
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in SNAPSHOT_KEY])
+    # The same filter on both sides keeps the plans of two snapshots of one changelog alike, and
+    # equality of the whole key lets the join take over their partitioning.
+    complete = reduce(and_, [F.col(k).isNotNull() for k in WINDOW_KEY])
+    current, previous = current.filter(complete), previous.filter(complete)
+    before = previous.select(*[F.col(k).alias(f"_{k}") for k in WINDOW_KEY], F.col("event_count").alias("_before"))
+    same = reduce(and_, [F.col(k) == F.col(f"_{k}") for k in WINDOW_KEY])
     change = F.when(F.col("_before").isNull(), "new").when(F.col("event_count") > F.col("_before"), "updated")
     return (
         current.join(before, same, "left")
         .withColumn("change", change)
         .filter(F.col("change").isNotNull())
-        .drop("_before", *[f"_{k}" for k in SNAPSHOT_KEY])
+        .drop("_before", *[f"_{k}" for k in WINDOW_KEY])
     )
 
 

@@ -518,6 +518,16 @@ _BODIES: dict[str, tuple[str, str]] = {
         FROM state c LEFT JOIN previous p USING (vehicle_id, window_start)
         WHERE p.vehicle_id IS NULL OR c.event_count > p.event_count""",
     ),
+    "new_window_count": (
+        _STATE,
+        """, previous AS (SELECT DISTINCT vehicle_id, window_start FROM changelog WHERE batch_id <= 1)
+        SELECT count(*) AS new_windows FROM state c ANTI JOIN previous p USING (vehicle_id, window_start)""",
+    ),
+    "curated_scan_dates": (
+        _CHANGELOG,
+        """SELECT vehicle_id, window_start, event_count, strftime(window_start, '%Y-%m-%d') AS date, batch_id
+           FROM changelog WHERE strftime(window_start, '%Y-%m-%d') BETWEEN '2024-01-03' AND '2024-01-10'""",
+    ),
     "ingest_outcomes": (
         _FEED,
         """SELECT batch_id, CASE WHEN ok THEN 'valid' WHEN malformed THEN 'malformed_json'
@@ -539,6 +549,19 @@ _BODIES: dict[str, tuple[str, str]] = {
 }
 
 
+# Queries over the feed with a vehicle per user and a batch per day, by the query they repeat.
+_WIDE = ("window_kpis", "stream_dedup", "latest_window_state", "vehicle_speed_summary", "fleet_summary", "invalid_counts")
+
+
+def _widened(ctes: str) -> str:
+    ten = "CAST(e.user_id % 10 AS VARCHAR) AS unit"
+    three = f"event_id % {BATCHES} AS batch_id"
+    return ctes.replace(ten, "CAST(e.user_id AS VARCHAR) AS unit").replace(
+        three, "CAST(floor(epoch(ts) / 86400) AS BIGINT) AS batch_id"
+    )
+
+
 def checks() -> dict[str, str]:
     """Query name to SQL."""
-    return {name: f"WITH {ctes.lstrip()} {body}" for name, (ctes, body) in _BODIES.items()}
+    wide = {f"{name}_wide": (_widened(_BODIES[name][0]), _BODIES[name][1]) for name in _WIDE}
+    return {name: f"WITH {ctes.lstrip()} {body}" for name, (ctes, body) in (_BODIES | wide).items()}

@@ -358,9 +358,9 @@ def high_temp_windows(spark, d):
 
 @query
 def recent_windows(spark, d):
-    changes = _changelog(spark, d)
-    newest = changes.select(F.max("window_end")).scalar()
-    return an.recent_windows(cl.latest_window_state(changes), as_of=newest)
+    # copies of an event do not move the newest window, so the events as they come will do
+    newest = _valid(spark, d).select(F.max(F.window("event_timestamp", WINDOW)["end"])).scalar()
+    return an.recent_windows(_state(spark, d), as_of=newest)
 
 
 @query
@@ -488,6 +488,63 @@ def ingest_outcomes(spark, d):
     return _flagged(spark, d).groupBy("batch_id", outcome).agg(F.count(F.lit(1)).alias("records"))
 
 
+# --- the same over keys that grow with the table -------------------------------------------
+
+
+def _wide_valid(spark: SparkSession, d: str) -> DataFrame:
+    return va.valid_events(va.flag_events(feed.read_feed(spark, d, wide=True), carry=IDS), IDS)
+
+
+def _wide_changelog(spark: SparkSession, d: str) -> DataFrame:
+    return plan.changelog(feed.read_feed(spark, d, wide=True), "offset", window_duration=WINDOW)
+
+
+@query
+def window_kpis_wide(spark, d):
+    return wi.batch_window_kpis(_wide_valid(spark, d), "offset", WINDOW)
+
+
+@query
+def stream_dedup_wide(spark, d):
+    first = dedup.first_arrival(_wide_valid(spark, d), ["offset"])
+    return first.select(*ORIGIN, "vehicle_id", "event_timestamp", "speed", "fault_code")
+
+
+@query
+def latest_window_state_wide(spark, d):
+    return cl.latest_window_state(_wide_changelog(spark, d))
+
+
+@query
+def vehicle_speed_summary_wide(spark, d):
+    return an.vehicle_speed_summary(cl.latest_window_state(_wide_changelog(spark, d)))
+
+
+@query
+def fleet_summary_wide(spark, d):
+    return an.fleet_summary(cl.latest_window_state(_wide_changelog(spark, d)))
+
+
+@query
+def invalid_counts_wide(spark, d):
+    return va.invalid_counts(va.flag_events(feed.read_feed(spark, d, wide=True), carry=IDS))
+
+
+@query
+def new_window_count(spark, d):
+    changes = _changelog(spark, d)
+    before = cl.latest_window_state(changes.filter("batch_id <= 1"))
+    return cl.new_window_count(cl.snapshot_diff(cl.latest_window_state(changes), before))
+
+
+@query
+def curated_scan_dates(spark, d):
+    base = scratch_dir(spark, "scan-dates")
+    curated.write_curated(_changelog(spark, d), base, F.col("batch_id"), curated.event_date())
+    rows = curated.read_curated(spark, base, ("2024-01-03", "2024-01-10"))
+    return rows.select("vehicle_id", "window_start", "event_count", "date", "batch_id")
+
+
 # --- streaming -----------------------------------------------------------------------------
 
 

@@ -44,11 +44,13 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def telemetry_view(events: DataFrame, defects: bool = True) -> DataFrame:
+def telemetry_view(events: DataFrame, defects: bool = True, wide: bool = False) -> DataFrame:
     """Typed view of the feed, one row per transmission.
 
     Without ``defects`` only the mistakes a typed row can carry remain (bad ids, times, ranges,
-    codes) and the second transmission of an event equals the first.
+    codes) and the second transmission of an event equals the first. ``wide`` makes every user a
+    vehicle and every day a batch, so that keys grow with the table; otherwise there are ten
+    vehicles and ``BATCHES`` batches at any size.
     """
     cases = " ".join(f"WHEN event_id % {n} = 0 THEN '{kind}'" for n, kind in DEFECTS)
     sent = events.selectExpr(
@@ -56,7 +58,8 @@ def telemetry_view(events: DataFrame, defects: bool = True) -> DataFrame:
         "explode(if(event_id % 10 = 0, array(0, 1), array(0))) AS copy_no",
         "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS iso",
         "CAST(ts AS TIMESTAMP) AS kafka_timestamp",
-        "CAST(user_id % 10 AS STRING) AS unit",
+        f"CAST({'user_id' if wide else 'user_id % 10'} AS STRING) AS unit",
+        f"{'unix_date(CAST(ts AS DATE))' if wide else f'event_id % {BATCHES}'} AS batch_id",
         "event_type",
         "value",
         "CAST(get_json_object(props, '$.k') AS DOUBLE) AS charge",
@@ -67,7 +70,7 @@ def telemetry_view(events: DataFrame, defects: bool = True) -> DataFrame:
     return sent.selectExpr(
         "event_id",
         "event_id * 2 + copy_no AS offset",
-        f"event_id % {BATCHES} AS batch_id",
+        "batch_id",
         "kafka_timestamp",
         "defect",
         r"""CASE WHEN defect = 'numeric_id' THEN '42' WHEN defect = 'absent_id' THEN NULL
@@ -118,5 +121,5 @@ def kafka_records(view: DataFrame) -> DataFrame:
     )
 
 
-def read_feed(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFrame:
-    return kafka_records(telemetry_view(events_table(spark, sf_dir), defects))
+def read_feed(spark: SparkSession, sf_dir: str, defects: bool = True, wide: bool = False) -> DataFrame:
+    return kafka_records(telemetry_view(events_table(spark, sf_dir), defects, wide))

@@ -8,12 +8,12 @@ import pytest
 from conftest import DATA
 
 from __spark_entry__ import entry, oracle_sql, queries
+from telemill.plans.checks import checks
+from telemill.plans.registry import QUERIES
 from telemill.sources import feed
 from telemill.operators import validate as va, windows as wi
 from pyspark.sql import functions as F
 
-QUERIES = queries()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -35,7 +35,8 @@ def _rows(names, rows):
 
 
 def test_every_query_has_a_check():
-    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) == set(checks())
+    assert set(QUERIES) <= set(queries()) and set(checks()) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
