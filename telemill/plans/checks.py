@@ -564,4 +564,5 @@ def _widened(ctes: str) -> str:
 def checks() -> dict[str, str]:
     """Query name to SQL."""
     wide = {f"{name}_wide": (_widened(_BODIES[name][0]), _BODIES[name][1]) for name in _WIDE}
+    wide["compacted_state"] = _BODIES["latest_window_state"]
     return {name: f"WITH {ctes.lstrip()} {body}" for name, (ctes, body) in (_BODIES | wide).items()}

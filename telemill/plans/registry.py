@@ -145,6 +145,15 @@ def curated_scan(spark, d):
     return curated.read_curated(spark, base).select("vehicle_id", "window_start", "event_count", "date", "batch_id")
 
 
+@query
+def compacted_state(spark, d):
+    base = scratch_dir(spark, "compacted")
+    curated.write_curated(_changelog(spark, d), base, F.col("batch_id"), curated.event_date())
+    curated.compact(spark, base, 0)
+    curated.compact(spark, base, 1)
+    return curated.read_compacted_state(spark, base)
+
+
 @query
 def changelog_text_scan(spark, d):
     base = scratch_dir(spark, "log")

@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from telemill.operators.changelog import latest_window_state
-from telemill.schema import CURATED, WINDOW_COLUMNS
+from telemill.schema import CHANGELOG, CURATED, WINDOW_COLUMNS
 
 CURATED_DIR = "curated/telemetry"
 RAW_DIR = "raw/telemetry"
 DEAD_LETTER_DIR = "dead_letter/telemetry"
+COMPACTED_DIR = "compacted/telemetry"
+COMPACTED = StructType([*CHANGELOG.fields, StructField("date", StringType()), StructField("upto", LongType())])
 
 # JSON output keeps microseconds, and fields that are null.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
@@ -109,6 +113,68 @@ def write_state(state: DataFrame, path: str) -> None:
     laid_out.write.mode("overwrite").parquet(path)
 
 
+# --- incremental compaction ------------------------------------------------------------------
+
+
+def last_compacted(spark: SparkSession, base: str) -> int:
+    """The batch up to which the changelog has been compacted; -1 before the first time."""
+    try:
+        done = spark.read.schema("upto bigint").parquet(f"{base}/{COMPACTED_DIR}-done")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return -1
+    return done.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+
+
+def _compacted(spark: SparkSession, base: str, done: int) -> DataFrame:
+    """Newest complete version of every event date."""
+    rows = spark.read.schema(COMPACTED).parquet(f"{base}/{COMPACTED_DIR}").filter(F.col("upto") <= done)
+    newest = rows.groupBy("date").agg(F.max("upto").alias("upto"))
+    return rows.join(newest, ["date", "upto"])
+
+
+def compact(spark: SparkSession, base: str, up_to_batch: int) -> None:
+    """Merge the batches since the last compaction, up to ``up_to_batch``, into the compacted state.
+
+    Only event dates that these batches touch are read and written again, as a new version; a
+    version counts once the compaction is marked as done, so one that fails leaves no trace. Batch
+    directories up to ``up_to_batch`` are not read any more and can be removed.
+    """
+    done = last_compacted(spark, base)
+    changes = read_curated(spark, base).filter(F.col("batch_id").between(done + 1, up_to_batch))
+    changes = changes.select(*WINDOW_COLUMNS, "batch_id").withColumn("date", event_date())
+    if done >= 0:
+        touched = changes.select("date").distinct()
+        changes = changes.unionByName(_compacted(spark, base, done).drop("upto").join(touched, "date", "left_semi"))
+    state = latest_window_state(changes).withColumns({"date": event_date(), "upto": F.lit(up_to_batch).cast("bigint")})
+    (
+        state.repartition("date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "upto")
+        .parquet(f"{base}/{COMPACTED_DIR}")
+    )
+    mark = spark.range(up_to_batch, up_to_batch + 1).withColumnRenamed("id", "upto").coalesce(1)
+    mark.write.mode("append").parquet(f"{base}/{COMPACTED_DIR}-done")
+
+
+def read_compacted_state(spark: SparkSession, base: str, dates: tuple[str, str] | None = None) -> DataFrame:
+    """Latest state per window from the compacted dates and the batches since.
+
+    ``dates`` (first, last) prunes the compacted part by event date.
+    """
+    done = last_compacted(spark, base)
+    rows = read_curated(spark, base).filter(F.col("batch_id") > done).withColumn("date", event_date())
+    rows = rows.select(*WINDOW_COLUMNS, "batch_id", "date")
+    if dates:
+        rows = rows.filter(F.col("date").between(*dates))
+    if done >= 0:
+        old = _compacted(spark, base, done)
+        rows = rows.unionByName((old.filter(F.col("date").between(*dates)) if dates else old).select(*rows.columns))
+    return latest_window_state(rows)
+
+
 # --- catalog -------------------------------------------------------------------------------
 
 
