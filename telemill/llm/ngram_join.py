@@ -4,7 +4,8 @@
    documents a shingle occurs and tells the documents which of theirs are shared.
 2. A document's prefix runs from its rarest shingle on. Single shingles of the rare class and pairs
    of the frequent class are its signatures; the prefix is extended by what the pairs cost, so that
-   two linked documents always have a signature in common.
+   two linked documents always have a signature in common, even if the smaller one's prefix is cut
+   to what links to larger sets take.
 3. Signatures give candidates, each compared over its whole set. Members of a signature's group are
    first compared with one pivot; only those still in different components are compared pairwise.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from telemill.llm.components import components
 from telemill.llm.words import hash_words, kept, mixed, ragged, slices, split_words
 
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
 PART_BYTES = 6 << 20
 #: Within a chunk, shingles of so many documents are counted once for all of them.
 LOCALLY_FREQUENT = 32
@@ -227,12 +228,17 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return kept(sets, "shingle_sets")
 
 
-def signatures_of(hashes: np.ndarray, counts: np.ndarray, n: int, percent: int) -> np.ndarray:
-    """Signatures of a set of ``n`` shingles, of which ``hashes`` are shared, rarest first."""
-    needed = int(allowed(np.int64(n), percent)) + 1 - (n - len(hashes))
+def signatures_of(hashes: np.ndarray, counts: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set of ``n`` shingles, of which ``hashes`` are shared, rarest first.
+
+    The flags tell which are found in the shorter prefix that does for links to larger sets.
+    """
+    alone = n - len(hashes)
+    needed = int(allowed(np.int64(n), percent)) + 1 - alone
+    needed_short = n - -(-2 * percent * n // (100 + percent)) + 1 - alone
     frequent = counts >= FREQUENT
     low, high = -(-SPLIT_FROM * percent // 100), (SPLIT_FROM - 1) * 100 // percent
-    found = []
+    found, short = [], []
     for groups, used in ((1, n <= high), (PAIR_GROUPS, n >= low)):
         if not used:
             continue
@@ -240,33 +246,43 @@ def signatures_of(hashes: np.ndarray, counts: np.ndarray, n: int, percent: int)
         # the first of each pair group adds nothing to what a linked document has to share
         gain = np.ones(len(hashes), np.int64)
         gain[np.unique(group[frequent], return_index=True)[1] + (len(hashes) - int(frequent.sum()))] = 0
-        end = int(np.searchsorted(np.cumsum(gain), needed)) + 1
+        gained = np.cumsum(gain)
+        end = int(np.searchsorted(gained, needed)) + 1
+        short_end = int(np.searchsorted(gained, needed_short)) + 1 if needed_short > 0 else 0
         prefix, group = hashes[:end], group[:end]
-        found.append(mixed(prefix[group == groups]))
+        singles = np.flatnonzero(group == groups)
+        found.append(mixed(prefix[singles]))
+        short.append(singles < short_end)
         for g in range(groups):
-            members = np.sort(prefix[group == g])
-            if len(members) > 1:
-                a, b = np.triu_indices(len(members), 1)
-                found.append(mixed(mixed(members[a]) + members[b]))
-    return np.unique(np.concatenate(found))
+            at = np.flatnonzero(group == g)
+            if len(at) > 1:
+                a, b = np.triu_indices(len(at), 1)
+                one, two = prefix[at[a]], prefix[at[b]]
+                found.append(mixed(mixed(np.minimum(one, two)) + np.maximum(one, two)))
+                short.append(at[b] < short_end)
+    values, flags = np.concatenate(found), np.concatenate(short)
+    order = np.lexsort((~flags, values))
+    values, flags = values[order], flags[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, bool)
+    return values[new], flags[new]
 
 
 def signatures(sets: DataFrame, percent: int) -> DataFrame:
-    """``signature, row, n, shared`` of all documents that can have a link."""
+    """``signature, short, row, n, shared`` of all documents that can have a link."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends, counts = batch["hashes"].offsets.to_numpy(), batch["counts"].values.to_numpy()
             hashes, n = batch["hashes"].values.to_numpy().view(np.uint64), batch["n"].to_numpy()
             found = [signatures_of(hashes[a:b], counts[a:b], int(k), percent) for a, b, k in zip(ends, ends[1:], n)]
-            of = np.repeat(np.arange(len(batch)), [len(f) for f in found])
-            values = pa.array(np.concatenate(found).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [values, *[batch[c].take(pa.array(of)) for c in ("row", "n", "shared")]], ["signature", "row", "n", "shared"]
-            )
+            of = np.repeat(np.arange(len(batch)), [len(f) for f, _ in found])
+            values = pa.array(np.concatenate([f for f, _ in found]).view(np.int64))
+            short = pa.array(np.concatenate([x for _, x in found]))
+            own = [batch[c].take(pa.array(of)) for c in ("row", "n", "shared")]
+            yield pa.RecordBatch.from_arrays([values, short, *own], ["signature", "short", "row", "n", "shared"])
 
     rows = sets.filter("hashes is not null and shared > 0").select("row", F.col("n_shingles").alias("n"), "shared", "hashes", "counts")
-    return rows.mapInArrow(sign, "signature long, row long, n long, shared int")
+    return rows.mapInArrow(sign, "signature long, short boolean, row long, n long, shared int")
 
 
 def _can_link(percent: int, a: str, b: str) -> Column:
@@ -300,8 +316,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     firsts = kept(named.join(alike, ["print1", "print2", "n_shingles"]).select("row", "first"), "firsts")
 
     signed = signatures(sets, percent).join(firsts.filter("row <> first"), "row", "left_anti")
-    groups = signed.groupBy("signature").agg(F.count("*").alias("members"), F.min_by("row", F.col("n") - F.col("shared")).alias("pivot"))
-    signed = kept(signed.join(groups.filter("members > 1"), "signature"), "signatures")
+    groups = signed.groupBy("signature").agg(
+        F.count("*").alias("members"), F.count_if("short").alias("shorts"), F.min_by("row", F.col("n") - F.col("shared")).alias("pivot")
+    )
+    groups = groups.filter("members > 1 and shorts > 0").select("signature", "pivot")
+    signed = kept(signed.join(groups, "signature"), "signatures")
     sizes = sets.filter("hashes is not null").select("row", F.col("n_shingles").alias("n"), "shared")
     of = lambda name: sizes.select(*[F.col(c).alias(f"{name}_{c}" if c != "row" else name) for c in sizes.columns])
     star = signed.filter("row <> pivot").select(F.col("pivot").alias("a"), F.col("row").alias("b"), F.col("n").alias("b_n"), F.col("shared").alias("b_shared"))
@@ -310,12 +329,15 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     found = components(links)
     placed = signed.join(found, signed["row"] == found["node"], "left")
-    placed = placed.select("signature", "row", "n", "shared", F.coalesce("component", "row").alias("component"))
+    placed = placed.select("signature", "short", "row", "n", "shared", F.coalesce("component", "row").alias("component"))
     open_ = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     placed = placed.join(open_.filter("low < high").select("signature"), "signature")
-    side = lambda x: placed.select("signature", *[F.col(c).alias(f"{x}_{c}") for c in ("row", "n", "shared", "component")])
-    apart = (F.col("a_component") < F.col("b_component")) & _can_link(percent, "a", "b")
-    rest = side("a").join(side("b"), "signature").filter(apart).select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))
+    side = lambda x: placed.select("signature", *[F.col(c).alias(f"{x}_{c}") for c in ("row", "n", "shared", "component", "short")])
+    # of a linked pair the smaller set has a common signature in its shorter prefix
+    larger = F.struct("b_n", "b_row") > F.struct("a_n", "a_row")
+    apart = (F.col("a_component") != F.col("b_component")) & larger & _can_link(percent, "a", "b")
+    rest = side("a").filter("a_short").join(side("b"), "signature").filter(apart)
+    rest = rest.select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))
     links = links.union(_verified(rest.distinct(), sets, percent))
     copies = firsts.filter("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))
     found = kept(components(links.union(copies)), "components")
@@ -335,12 +357,12 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -
     """
     classes = jaccard_components(docs, size, percent)
     gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_gone"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_gone"))
-    order = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
-    left = rows.join(gone, same, "left_anti").withColumn("_copy", F.row_number().over(order))
-    return left.filter("_copy = 1").select(*docs.columns)
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__gone"))
+    rows = docs.withColumn("__hash", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__gone"))
+    order = Window.partitionBy("doc_id", "__hash").orderBy("doc_id")
+    left = rows.join(gone, same, "left_anti").withColumn("__copy", F.row_number().over(order))
+    return left.filter("__copy = 1").select(*docs.columns)
 
 
 SQL = r"""
