@@ -158,7 +158,7 @@ def compacted_state(spark, d):
 def changelog_text_scan(spark, d):
     base = scratch_dir(spark, "log")
     _write_console_logs(_changelog(spark, d), base)
-    return cl.latest_window_state(console_log.read_changelog_text(spark, base))
+    return console_log.latest_printed_state(spark, base)
 
 
 def _write_console_logs(changes: DataFrame, path: str) -> None:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from telemill.config import DEFAULT_RULES, RuleSet
 from telemill.functions.numbers import numeric
 from telemill.functions.text import strip
-from telemill.schema import WINDOW_COLUMNS
+from telemill.operators.changelog import latest_window_state
+from telemill.schema import WINDOW_COLUMNS, WINDOW_KEY
 
 _SPLIT = ("file", "start")
 _CELL_TYPES = dict(zip(WINDOW_COLUMNS, ["string"] * 3 + ["double"] * 3 + ["bigint"] * 2))
@@ -40,10 +41,13 @@ def _typed(cell: Column, kind: str) -> Column:
     return numeric(cell) if kind == "double" else cell.try_cast(kind)
 
 
-def read_changelog_text(spark: SparkSession, path: str, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+def read_changelog_text(
+    spark: SparkSession, path: str, rules: RuleSet = DEFAULT_RULES, places: bool = False
+) -> DataFrame:
     """Every window row of the logs under ``path`` with the batch it was printed in.
 
-    Lines that are not complete window rows are skipped. Compact with ``latest_window_state``.
+    Lines that are not complete window rows are skipped. ``places`` adds where a row stands:
+    ``file``, ``start`` of its split and ``pos`` in it. Compact with ``latest_printed_state``.
     """
     lines = _lines(spark, path)
 
@@ -63,8 +67,17 @@ def read_changelog_text(spark: SparkSession, path: str, rules: RuleSet = DEFAULT
         .select(
             *[_typed(F.get("cells", F.lit(i)), t).alias(c) for i, (c, t) in enumerate(_CELL_TYPES.items())],
             F.coalesce("printed", "carried").alias("batch_id"),
+            *(["file", "start", "pos"] if places else []),
         )
     )
     complete = rows.na.drop(subset=[c for c, t in _CELL_TYPES.items() if t != "string"])
     stamps = {c: F.col(c).try_cast("timestamp") for c in ("window_start", "window_end")}
     return complete.withColumns(stamps)
+
+
+def latest_printed_state(spark: SparkSession, path: str, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
+    """Latest row per window. Within a log the later line wins, since batch ids start again when the
+    job gets a fresh checkpoint; between logs the larger batch id does."""
+    rows = read_changelog_text(spark, path, rules, places=True)
+    latest = Window.partitionBy("file", *WINDOW_KEY).orderBy(F.desc("start"), F.desc("pos"))
+    return latest_window_state(rows.withColumn("_nth", F.row_number().over(latest)).filter("_nth = 1"))

@@ -98,3 +98,9 @@ def test_rounding_decides_ties_on_the_decimal_value(spark):
 def test_fault_rate(spark, events, want):
     row = spark.range(1).select(numbers.fault_rate_pct(F.lit(3), F.lit(events)).alias("r")).first()
     assert row.r == want
+
+
+def test_other_keys_are_kept_on_request(records):
+    raw = records([event(seq=7, speed=None, depot="A"), event()])
+    got = [r.extra for r in normalize_events(raw, carry=["offset"], extra=True).orderBy("offset").collect()]
+    assert got == [{"seq": "7", "depot": "A"}, {}]

@@ -282,3 +282,11 @@ def test_compacted_dates_prune(spark, windows, base, plan_of):
     plan = plan_of(curated.read_compacted_state(spark, base, ("2026-09-17", "2026-09-17")))
     assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= 2026-09-17", plan)
     assert curated.read_compacted_state(spark, base, ("2020-01-01", "2020-01-02")).count() == 0
+
+
+def test_later_lines_of_a_log_win_over_larger_batch_ids(spark, tmp_path):
+    row = "|BMW-1|2026-09-17 10:00:00|2026-09-17 10:05:00|{}|80.0|20.0|0|{}|"
+    log = tmp_path / "job.log"
+    log.write_text("Batch: 5\n" + row.format(50.0, 9) + "\nBatch: 0\n" + row.format(10.0, 1) + "\n")
+    (got,) = console_log.latest_printed_state(spark, str(log)).collect()
+    assert (got.batch_id, got.average_speed, got.event_count) == (0, 10.0, 1)
