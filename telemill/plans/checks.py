@@ -535,6 +535,11 @@ _BODIES: dict[str, tuple[str, str]] = {
     ),
     # streaming
     "stream_window_state": (_kpis(_US_6H), f"SELECT {_KPI_COLUMNS} FROM kpis"),
+    # Records come in by offset modulo 3, so the copy with the smaller remainder is first.
+    "stream_window_state_batches": (
+        _kpis(_US_6H).replace('ORDER BY "offset")', 'ORDER BY "offset" % 3)'),
+        f"SELECT {_KPI_COLUMNS} FROM kpis",
+    ),
     "stream_dead_letter": (
         _FEED,
         """SELECT json_payload, CASE WHEN malformed THEN 'malformed_json' ELSE 'invalid_telemetry_values' END

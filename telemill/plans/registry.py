@@ -8,6 +8,7 @@ SQL of ``plans.checks``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
@@ -576,6 +577,18 @@ def stream_window_state(spark, d):
     return curated.read_state(spark, settings.output).drop("batch_id")
 
 
+@query
+def stream_window_state_batches(spark, d):
+    """File by file, the copies of an event in different micro-batches."""
+    settings = replace(_settings(spark, "stream-batches"), watermark_delay="40 days")
+    records, folder = _records(spark, d), scratch_dir(spark, "stream-files")
+    for part in range(3):
+        records.filter(F.col("offset") % 3 == part).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    job.start_aggregates(stream, settings, {"availableNow": True}).awaitTermination()
+    return curated.read_state(spark, settings.output).drop("batch_id")
+
+
 @query
 def stream_dead_letter(spark, d):
     settings = _settings(spark, "stream-route")
