@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemill.llm.words import hash_words, kept, ragged, slices, split_words
+from telemill.llm.words import hash_words, in_small_batches, kept, ragged, slices, split_words
 
 STATES, ROUNDS, SEGMENT = 4, 3, 128
 #: Bound of the broadcast dictionary of frequent words (16 bytes each), and of words with a symbol.
@@ -271,7 +271,7 @@ def log_likelihoods(model: Model, symbols: np.ndarray, sizes: np.ndarray) -> np.
 
 def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, Vocabulary, Model]:
     """Count words, encode all texts, and fit the model on those not held out."""
-    learned = docs.filter(~held_out())
+    learned = in_small_batches(docs).filter(~held_out())
     counts = word_counts(learned)
     vocab = vocabulary(counts, learned.count())
     encoded = encode(docs, vocab)

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from telemill.llm.words import kept, slices, split_words
+from telemill.llm.words import in_small_batches, kept, slices, split_words
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 64
@@ -64,7 +64,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             offsets, _ = split_words(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.diff(offsets))], ["doc_id", "n_words"])
 
-    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_words long")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(count, "doc_id long, n_words long")
 
 
 def pack(

@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from telemill.llm.words import in_small_batches
+
 #: Bounds of the learning sample: labelled documents of each class, and characters of each.
 SAMPLE, LONGEST = 1500, 32_000
 DICTIONARY_BYTES = 512 << 10
@@ -110,11 +112,11 @@ def score(text: Column, model: QualityModel) -> Column:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``, repeated rows included."""
-    model = train(docs, labels)
+    model = train(in_small_batches(docs), labels)
     rows = docs.select("doc_id", held_out().alias("held_out"), score(F.col("text"), model).alias("score"))
     return rows.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, unchanged."""
-    return docs.filter(score(F.col("text"), train(docs, labels)) >= threshold)
+    return docs.filter(score(F.col("text"), train(in_small_batches(docs), labels)) >= threshold)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.llm.ngram_join import BLOCK, MARK, PART_BYTES, _batch, chunk_blocks, packed, shared_in_part, unpacked
-from telemill.llm.words import hash_words, mixed, ragged, slices, split_words
+from telemill.llm.words import hash_words, in_small_batches, mixed, ragged, slices, split_words
 
 WINDOW, GRAM = 50, 25
 SPAN = WINDOW - GRAM + 1
@@ -256,6 +256,7 @@ def remove_repeats(docs: DataFrame, rejoin: bool = False) -> DataFrame:
     import zstandard
 
     text = F.coalesce("text", F.lit(""))
+    in_small_batches(docs)
     keyed = docs.withColumns({"__hash": F.xxhash64(text), "__packed": _packed_text(text)})
     packed_docs = keyed.select("doc_id", F.col("__hash").alias("text_hash"), F.col("__packed").alias("packed_text"))
     plain = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).filter("doc_id is not null")

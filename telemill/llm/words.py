@@ -18,7 +18,18 @@ from telemill.sources.scratch import scratch_dir
 #: Fixed value: the characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: Rows of one Arrow batch. Spark's default of 10,000 is for short rows; texts of that number fill
+#: tens of megabytes several times over, in the JVM and in Python.
+BATCH_ROWS = 2000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The same rows; from now on its session hands at most ``BATCH_ROWS`` of them to Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(name)) > BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -34,11 +45,11 @@ def word_array(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``BATCH_BYTES`` of text; a longer text stands alone."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about ``limit`` bytes of text; a longer text stands alone."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = np.cumsum(size) // BATCH_BYTES
+        part = np.cumsum(size) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(batch)]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
