@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemill.llm.words import kept
+from telemill.llm.words import in_small_batches, kept
 from telemill.sources.scratch import scratch_dir
 
 #: Magic numbers of the dictionary's skippable frame and of a Zstandard frame.
@@ -92,6 +92,8 @@ def parse_record(data: bytes) -> dict:
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The shared store that holds ``path``; Arrow and Spark name one of them differently."""
+    path = path.replace("s3a://", "s3://", 1)
     return fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
 
 
@@ -165,7 +167,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     gives no target. Archives of failed attempts stay unlisted: read only what the list names.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha1"))
+    rows = in_small_batches(pages).select("page_id", "url", payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha1"))
     # ids only: groups of copies shrink to one row in each map task
     latest = rows.groupBy("sha1").agg(F.max("page_id").alias("latest"))
     differs = ~F.col("page_id").eqNullSafe(F.col("latest")) & (F.length("payload") >= least_bytes)
@@ -214,7 +216,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return archives.select("path").repartition("path").mapInArrow(read, RECORDS)
+    # a number of its own keeps the few small rows from being merged into one task
+    tasks = max(archives.count(), 1)
+    return archives.select("path").repartition(tasks, "path").mapInArrow(read, RECORDS)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
