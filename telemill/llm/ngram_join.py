@@ -31,12 +31,14 @@ FREQUENT = 32
 PAIR_GROUPS, SPLIT_FROM = 16, 64
 MARK = np.uint32(0xFFFFFFFF)
 MOST_COUNTED = 65_535
+#: Bits of the map of a set, by which pairs are ruled out before whole sets are fetched.
+BITS = 1024
 
 BLOCK = (
     "part long, chunk long, hashes binary, members binary, counts binary,"
     " ids array<long>, sizes array<int>, own_hashes binary, own_members binary"
 )
-SETS = "row long, doc_id long, text_hash long, n_shingles long, shared int, print1 long, print2 long, hashes array<long>, counts array<int>"
+SETS = "row long, doc_id long, text_hash long, n_shingles long, shared int, print1 long, print2 long, hashes array<long>, counts array<int>, bits array<long>"
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -177,6 +179,10 @@ def sets_of_chunk(chunk: pa.Table, percent: int) -> pa.Table:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes * np.uint64(2) + np.uint64(salt)), dtype=np.uint64)])
         prints.append(pa.array((sums[ends] - sums[ends - sizes]).view(np.int64), mask=~whole))
     offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), mask=np.append(~possible, False))
+    bits = np.zeros((len(n), BITS // 64), np.uint64)
+    at = hashes % np.uint64(BITS)
+    np.bitwise_or.at(bits, (members, (at >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (at & np.uint64(63)))
+    ends_of_bits = np.concatenate([[0], np.cumsum(possible * (BITS // 64))]).astype(np.int32)
     columns = [
         pa.array(head["chunk"] + np.arange(len(n))),
         pa.array(head["ids"][0::2], pa.int64()),
@@ -186,8 +192,9 @@ def sets_of_chunk(chunk: pa.Table, percent: int) -> pa.Table:
         *prints,
         pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
         pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
+        pa.ListArray.from_arrays(pa.array(ends_of_bits), pa.array(bits[possible].reshape(-1).view(np.int64))),
     ]
-    return pa.Table.from_arrays(columns, ["row", "doc_id", "text_hash", "n_shingles", "shared", "print1", "print2", "hashes", "counts"])
+    return pa.Table.from_arrays(columns, ["row", "doc_id", "text_hash", "n_shingles", "shared", "print1", "print2", "hashes", "counts", "bits"])
 
 
 def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -290,6 +297,16 @@ def _can_link(percent: int, a: str, b: str) -> Column:
     return most * (100 + percent) >= percent * (F.col(f"{a}_n") + F.col(f"{b}_n"))
 
 
+def _bits_can_link(percent: int, a: str, b: str) -> Column:
+    """A bit that only one set has stands for a shingle at least that the other one lacks."""
+
+    def common(x: str, y: str) -> Column:
+        lacking = F.zip_with(f"{x}_bits", f"{y}_bits", lambda v, w: F.bit_count(v.bitwiseAND(F.bitwise_not(w))))
+        return F.col(f"{x}_shared") - F.aggregate(lacking, F.lit(0), lambda s, n: s + n)
+
+    return F.least(common(a, b), common(b, a)) * (100 + percent) >= percent * (F.col(f"{a}_n") + F.col(f"{b}_n"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` whose whole sets are similar enough."""
     lists = sets.filter("hashes is not null").select("row", F.col("n_shingles").alias("n"), "hashes")
@@ -332,10 +349,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     placed = placed.select("signature", "short", "row", "n", "shared", F.coalesce("component", "row").alias("component"))
     open_ = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     placed = placed.join(open_.filter("low < high").select("signature"), "signature")
-    side = lambda x: placed.select("signature", *[F.col(c).alias(f"{x}_{c}") for c in ("row", "n", "shared", "component", "short")])
+    placed = placed.join(sets.filter("hashes is not null").select("row", "bits"), "row")
+    side = lambda x: placed.select("signature", *[F.col(c).alias(f"{x}_{c}") for c in ("row", "n", "shared", "component", "short", "bits")])
     # of a linked pair the smaller set has a common signature in its shorter prefix
     larger = F.struct("b_n", "b_row") > F.struct("a_n", "a_row")
-    apart = (F.col("a_component") != F.col("b_component")) & larger & _can_link(percent, "a", "b")
+    apart = (F.col("a_component") != F.col("b_component")) & larger & _can_link(percent, "a", "b") & _bits_can_link(percent, "a", "b")
     rest = side("a").filter("a_short").join(side("b"), "signature").filter(apart)
     rest = rest.select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))
     links = links.union(_verified(rest.distinct(), sets, percent))
