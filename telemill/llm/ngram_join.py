@@ -19,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemill.llm.components import components
-from telemill.llm.words import hash_words, kept, mixed, ragged, slices, split_words
+from telemill.llm.words import hash_words, in_small_batches, kept, mixed, ragged, slices, split_words
 
-CHUNK_SHINGLES = 1_000_000
+CHUNK_SHINGLES = 500_000
+SLICE_BYTES = 2 << 20
 PART_BYTES = 6 << 20
 #: Within a chunk, shingles of so many documents are counted once for all of them.
 LOCALLY_FREQUENT = 32
@@ -216,7 +217,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     pending = []
             yield _batch(pending)
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             d, h = shingles(batch["text"], size)
             ids += [x for pair in zip(batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist()) for x in pair]
             rows.append(batch["row"][0].as_py())
@@ -229,7 +230,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 ids, rows, docs_, hashes, base, held = [], [], [], [], 0, 0
         yield from flush()
 
-    numbered = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
+    numbered = in_small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
     blocks = numbered.mapInArrow(cut, BLOCK).groupBy("part").applyInArrow(shared_in_part, BLOCK)
     sets = blocks.groupBy("chunk").applyInArrow(lambda t: sets_of_chunk(t, percent), SETS)
     return kept(sets, "shingle_sets")
