@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -11,53 +13,76 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from telemill.llm.words import ragged, slices, split_words
+from telemill.llm.words import hash_words, in_small_batches, ragged, slices, split_words
 
-CACHED_WORDS = 200_000
+#: Words whose ids a Python worker keeps from task to task, about 40 bytes each.
+CACHED_WORDS = 1_000_000
+SLICE_BYTES = 4 << 20
 STRIPE_BYTES = 64 << 20
 INDEX_STRIDE = 10_000
 FALSE_POSITIVES = 0.01
 
 
 class WordEncoder:
-    """Ids of whole texts; every different word is given to the tokenizer once while it is cached.
+    """Ids of whole texts; each different word is given to the tokenizer once while it is kept.
 
     Holds for tokenizers that split text at white space before anything else, such as those whose
-    pre-tokenizer drops it: their ids of a text are those of its words in a row.
+    pre-tokenizer drops it: their ids of a text are those of its words in a row. Words are known
+    by 64-bit hashes.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached, self.known = Tokenizer.from_file(path), cached, {}
+        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, words: pa.Array) -> None:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))])
+        both = np.concatenate([self.hashes, hashes])
+        order = np.argsort(both)
+        self.hashes = both[order]
+        self.starts, self.sizes = np.concatenate([self.starts, starts])[order], np.concatenate([self.sizes, sizes])[order]
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and how many each text has."""
         offsets, words = split_words(texts)
         codes = words.dictionary_encode()
-        different = codes.dictionary.to_pylist()
-        if len(self.known) + len(different) > self.cached:
-            self.known.clear()
-        unknown = [w for w in different if w not in self.known]
-        encoded = self.tokenizer.encode_batch(unknown, add_special_tokens=False)
-        self.known.update((w, e.ids) for w, e in zip(unknown, encoded))
-        ids = [self.known[w] for w in different]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        used = codes.indices.to_numpy()
-        word_sizes = sizes[used] if len(used) else np.zeros(0, np.int64)
-        tokens = flat[ragged((np.cumsum(sizes) - sizes)[used], word_sizes)] if len(used) else flat[:0]
-        before = np.concatenate([[0], np.cumsum(word_sizes)])
+        hashes = hash_words(codes.dictionary)
+        if len(self.hashes) + len(hashes) > self.cached:
+            self._forget()
+        new = np.flatnonzero(~np.isin(hashes, self.hashes))
+        if len(new):
+            self._learn(hashes[new], codes.dictionary.take(pa.array(new)))
+        at = np.searchsorted(self.hashes, hashes)[codes.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        tokens = self.flat[ragged(self.starts[at], self.sizes[at])]
+        before = np.concatenate([[0], np.cumsum(self.sizes[at])])
         counts = before[offsets[1:]] - before[offsets[:-1]]
         closed = np.full(len(tokens) + len(counts), end_id, np.int32)
-        ends = np.cumsum(counts + 1) - 1
         inner = np.ones(len(closed), bool)
-        inner[ends] = False
+        inner[np.cumsum(counts + 1) - 1] = False
         closed[inner] = tokens
         return closed, counts + 1
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which serves one task after another."""
+    kept_here = sys.modules.setdefault("telemill_worker", types.ModuleType("telemill_worker")).__dict__
+    name = f"encoder {path}"
+    if name not in kept_here:
+        kept_here[name] = WordEncoder(path)
+    return kept_here[name]
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Write ``doc_id, before, n_tokens, ids`` in ascending order of ``doc_id`` to ORC files.
 
@@ -68,8 +93,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = WordEncoder(tokenizer_path), 0
-        for batch in slices(batches):
+        encoder, before = worker_encoder(tokenizer_path), 0
+        for batch in slices(batches, limit=SLICE_BYTES):
             ids, counts = encoder(batch["text"], end_id)
             ends = np.cumsum(counts)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
@@ -77,7 +102,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "before", "n_tokens", "ids"])
             before += int(ends[-1])
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    rows = in_small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
     order = ["doc_id", "hash", "row"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     tokens = rows.mapInArrow(encode, "doc_id long, before long, n_tokens long, ids array<int>")
