@@ -11,6 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from telemill.llm.words import hash_words, in_small_batches, ragged, slices, split_words
@@ -18,6 +19,7 @@ from telemill.llm.words import hash_words, in_small_batches, ragged, slices, spl
 #: Words whose ids a Python worker keeps from task to task, about 40 bytes each.
 CACHED_WORDS = 1_000_000
 SLICE_BYTES = 4 << 20
+LINE_WORDS = 100
 STRIPE_BYTES = 64 << 20
 INDEX_STRIDE = 10_000
 FALSE_POSITIVES = 0.01
@@ -36,22 +38,57 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
-        self._forget()
-
-    def _forget(self) -> None:
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.hashes = np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(3))
         self.flat = np.zeros(0, np.int32)
 
+    def _forget(self) -> None:
+        """Drop the words that were met once."""
+        keep = self.used > 1
+        self.flat = self.flat[ragged(self.starts[keep], self.sizes[keep])]
+        self.hashes, self.sizes = self.hashes[keep], self.sizes[keep]
+        self.starts, self.used = np.cumsum(self.sizes) - self.sizes, np.ones(len(self.sizes), np.int64)
+
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has.
+
+        Words of letters go in lines of ``LINE_WORDS``. If a line has as many word ends as words,
+        each word has one, and the ids are cut there; the words of other lines go one by one.
+        """
+        plain = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False) & self.ends.any()
+        texts, parts = words.to_pylist(), []
+        at = np.flatnonzero(plain)
+        lines = [at[i : i + LINE_WORDS] for i in range(0, len(at), LINE_WORDS)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in line) for line in lines], add_special_tokens=False)
+        single = [np.flatnonzero(~plain)]
+        for line, e in zip(lines, joined):
+            ids = np.array(e.ids, np.int32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(line) and cuts[-1] == len(ids):
+                parts.append((line, ids, np.diff(cuts, prepend=0)))
+            else:
+                single.append(line)
+        alone = np.concatenate(single)
+        one_by_one = [e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)]
+        counts = np.fromiter(map(len, one_by_one), np.int64, len(one_by_one))
+        parts.append((alone, np.fromiter(chain.from_iterable(one_by_one), np.int32, int(counts.sum())), counts))
+        order, ids, sizes = (np.concatenate(x) for x in zip(*parts))
+        back = np.argsort(order)
+        return ids[ragged((np.cumsum(sizes) - sizes)[back], sizes[back])], sizes[back]
+
     def _learn(self, hashes: np.ndarray, words: pa.Array) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        ids, sizes = self._encode(words)
         starts = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))])
+        self.flat = np.concatenate([self.flat, ids])
         both = np.concatenate([self.hashes, hashes])
-        order = np.argsort(both)
+        order = np.argsort(both, kind="stable")
         self.hashes = both[order]
         self.starts, self.sizes = np.concatenate([self.starts, starts])[order], np.concatenate([self.sizes, sizes])[order]
+        self.used = np.concatenate([self.used, np.zeros(len(hashes), np.int64)])[order]
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and how many each text has."""
@@ -60,10 +97,13 @@ class WordEncoder:
         hashes = hash_words(codes.dictionary)
         if len(self.hashes) + len(hashes) > self.cached:
             self._forget()
-        new = np.flatnonzero(~np.isin(hashes, self.hashes))
+        near = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        new = np.flatnonzero(self.hashes[near] != hashes) if len(self.hashes) else np.arange(len(hashes))
         if len(new):
             self._learn(hashes[new], codes.dictionary.take(pa.array(new)))
-        at = np.searchsorted(self.hashes, hashes)[codes.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        places = np.searchsorted(self.hashes, hashes)
+        self.used[places] += 1
+        at = places[codes.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
         tokens = self.flat[ragged(self.starts[at], self.sizes[at])]
         before = np.concatenate([[0], np.cumsum(self.sizes[at])])
         counts = before[offsets[1:]] - before[offsets[:-1]]
