@@ -4,8 +4,9 @@
    f = <s / sqrt(D), Rx> its correction factor, D being the code's length. For another unit vector
    y, <s / sqrt(D), Ry> / f is an unbiased estimate of <x, y> over the rotations, with an error of at most
    ``SIGMAS`` * sqrt((1 - f^2) / f^2 / (D - 1)) but for a small probability.
-2. The code's bits in bands of about log2(n) group vectors whose codes agree in a band. There are
-   so many bands that a pair at the limit shares one with probability ``RECALL``.
+2. The code's bits in bands of about log2(n) + 3 group vectors whose codes agree in a band. There are
+   so many bands that a pair at the limit shares one with probability ``RECALL``. Most groups have
+   one vector and are dropped before any vector travels.
 3. In the groups, the estimate's upper bound decides which pairs are computed exactly. A pair
    belongs to the first band that both share, so each is looked at once.
 """
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemill.llm.components import components
-from telemill.llm.words import kept, mixed, ragged
+from telemill.llm.words import kept, ragged
 
 LIMIT, RECALL, SIGMAS, SEED = 0.95, 0.99, 4.0, 11
 #: Larger groups are cut into tiles of about this many vectors; tasks compare two tiles at a time.
@@ -29,12 +30,14 @@ TILE = 1024
 PAIRS_AT_ONCE = 16_384
 
 FOUND = "row long, links long, root long"
-BANDED = "band int, key long, row long, copies long, bands binary, vector binary"
+CODED = "row long, copies long, size int, bands array<int>, vector binary"
+#: Bits of a band beyond log2(n): unrelated vectors then meet in about one band of 2 ** SPARE_BITS.
+SPARE_BITS = 3
 
 
 def plan_bands(n: int, limit: float = LIMIT, recall: float = RECALL) -> tuple[int, int]:
     """Bits of a band, and how many bands, for ``n`` different vectors."""
-    bits = min(32, max(8, math.ceil(math.log2(max(n, 2)))))
+    bits = min(31, max(8, math.ceil(math.log2(max(n, 2))) + SPARE_BITS))
     agree = (1 - math.acos(limit) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
@@ -46,8 +49,8 @@ def rotations(size: int, length: int) -> np.ndarray:
     return np.concatenate(turns)[:length]
 
 
-def unit_vectors(vectors: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(v, np.float64) for v in vectors])
+def unit_vectors(vectors: list[bytes], kind: str) -> np.ndarray:
+    x = np.stack([np.frombuffer(v, kind) for v in vectors]).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -104,36 +107,37 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & good & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def _with_tiles(rows: DataFrame) -> DataFrame:
-    """Deal out large groups as pairs of tiles; ``group`` then has all rows of two tiles."""
-    large = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > TILE)
-    large = large.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    rows = rows.join(large, "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
+def groups_of(coded: DataFrame) -> DataFrame:
+    """``row, group, band, tile, across``: in which groups with others each vector is.
+
+    Large groups are dealt out as pairs of tiles; a ``group`` then has all rows of two tiles.
+    """
+    rows = coded.select("row", "size", F.posexplode("bands").alias("band", "value"))
+    rows = rows.select("row", "band", F.xxhash64("size", "band", "value").alias("key"))
+    filled = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    filled = filled.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    rows = rows.join(filled, "key").withColumn("tile", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    group = F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other"))
-    return rows.withColumn("group", group).withColumn("across", F.col("other") != F.col("tile"))
+    group = F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("group")
+    return rows.select("row", group, "band", "tile", (F.col("other") != F.col("tile")).alias("across"))
 
 
-def links_in_groups(reps: DataFrame, bits: int, bands: int, limit: float) -> DataFrame:
+def links_in_groups(reps: DataFrame, bits: int, bands: int, limit: float, kind: str) -> DataFrame:
     """``row, links, root``: partial link counts, and links enough to connect what is connected."""
+    width = np.dtype(kind).itemsize
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch["vector"].to_pylist()
-            sizes = np.array([len(v) for v in raw])
+            sizes = np.array([len(v) // width for v in raw])
             for size in np.unique(sizes):
-                for at in range(0, int((sizes == size).sum()), 2048):
-                    chosen = np.flatnonzero(sizes == size)[at : at + 2048]
-                    codes = band_values(unit_vectors([raw[i] for i in chosen]), bits, bands)
+                for at in range(0, int((sizes == size).sum()), 1024):
+                    chosen = np.flatnonzero(sizes == size)[at : at + 1024]
+                    codes = band_values(unit_vectors([raw[i] for i in chosen], kind), bits, bands).astype(np.int32)
                     some = batch.take(pa.array(chosen))
-                    packed = pa.array([c.tobytes() for c in codes], pa.binary())
-                    for band in range(bands):
-                        salt = np.uint64((int(size) << 32) + band)
-                        key = mixed(mixed(codes[:, band].astype(np.uint64)) + salt).view(np.int64)
-                        columns = [pa.array(np.full(len(chosen), band, np.int32)), pa.array(key)]
-                        columns += [some["row"], some["copies"], packed, some["vector"]]
-                        yield pa.RecordBatch.from_arrays(columns, ["band", "key", "row", "copies", "bands", "vector"])
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(chosen) + 1, dtype=np.int32) * bands), pa.array(codes.reshape(-1)))
+                    columns = [some["row"], some["copies"], pa.array(np.full(len(chosen), size, np.int32)), lists, some["vector"]]
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "copies", "size", "bands", "vector"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, rest = PairFinder(bits, bands, limit), None
@@ -161,8 +165,8 @@ def links_in_groups(reps: DataFrame, bits: int, bands: int, limit: float) -> Dat
             return
         sizes = sizes[sizes > 1]
         later = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(table)) - 1
-        x = unit_vectors(table["vector"].to_pylist())
-        codes = np.stack([np.frombuffer(c, np.uint32) for c in table["bands"].to_pylist()])
+        x = unit_vectors(table["vector"].to_pylist(), kind)
+        codes = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, bands).astype(np.uint32)
         band, tile, across = (table[c].to_numpy() for c in ("band", "tile", "across"))
         left, right = [], []
         for part in np.array_split(np.arange(len(table)), -(-int(later.sum()) // (1 << 20)) or 1):
@@ -185,7 +189,8 @@ def links_in_groups(reps: DataFrame, bits: int, bands: int, limit: float) -> Dat
         out = [pa.array(rows[some]), pa.array(n[some].astype(np.int64)), pa.array(rows[root[some]])]
         yield pa.RecordBatch.from_arrays(out, ["row", "links", "root"])
 
-    rows = _with_tiles(reps.mapInArrow(spread, BANDED)).select("group", "across", "tile", "band", "row", "copies", "bands", "vector")
+    coded = kept(reps.mapInArrow(code, CODED), "coded")
+    rows = groups_of(coded).join(coded.drop("size"), "row")
     return rows.repartition("group").sortWithinPartitions("group").mapInArrow(compare, FOUND)
 
 
@@ -198,7 +203,8 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, recall: float = RE
     null or non-finite components, link with nothing, nor do vectors of different sizes. Repeated
     ids are separate vectors; null ids count only in components without any other.
     """
-    vector = F.col("embedding").cast("array<double>")
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind, vector = ("<f4", F.col("embedding")) if single else ("<f8", F.col("embedding").cast("array<double>"))
     rows = vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.when(usable(vector), vector).alias("embedding"))
 
     def to_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +221,7 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, recall: float = RE
     alike = kept(alike, "alike")
     named = rows.filter("vector is not null").select("row", *key).join(alike, ["h1", "h2"]).select("row", "first", "copies")
     reps = rows.join(alike.select(F.col("first").alias("row"), "copies"), "row").select("row", "copies", "vector")
-    found = kept(links_in_groups(reps, *plan_bands(alike.count(), limit, recall), limit), "found")
+    found = kept(links_in_groups(reps, *plan_bands(alike.count(), limit, recall), limit, kind), "found")
 
     linked = found.groupBy("row").agg(F.sum("links").alias("links")).withColumnRenamed("row", "first")
     of = components(found.filter("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")))
