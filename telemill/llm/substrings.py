@@ -5,14 +5,15 @@ depth, and a node there stands for one sequence of words with all places where i
 
 1. Anchors: of the k-grams in each window that with the least hash. Equal windows have equal
    anchors, so a window whose anchor no other document has is unique and never indexed.
-2. Each remaining suffix goes to the subtree of a variable-length prefix: its words up to the end of
-   its anchor. Subtrees are dealt out by prefix into parts that fit in memory.
-3. In each part the suffixes are sorted into their trees; at a node of full depth, all places but
-   those in the smallest document are to be removed.
-
-Words stand as fingerprints of 64 bits, prefixes and windows as polynomials over them (88 bits
-together). Within a batch of documents only the smallest document of each node is sent on, so a
-passage that a third of all documents share is a few rows of each batch.
+2. Each remaining suffix is dealt out by a fingerprint of its whole window into parts that fit in
+   memory.
+3. In each part the suffixes are sorted by their windows; at a node, which has one sequence of
+   words, all places but those in the smallest document are to be removed.
+
+A window stands as two independent fingerprints of 64 bits, polynomials of different bases over
+differently keyed 64-bit hashes of its words; windows that agree in both count as equal. Within a
+batch of documents only the smallest document of each node is sent on, so a passage that a third of
+all documents share is a few rows of each batch.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ from telemill.llm.words import hash_words, in_small_batches, mixed, ragged, slic
 WINDOW, GRAM = 50, 25
 SPAN = WINDOW - GRAM + 1
 CHUNK_SUFFIXES = 1_000_000
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+BASE, SECOND_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Key of the second hash of words; 16 characters.
+SECOND_KEY = "second print key"
 
 SUFFIXES = (
-    "part long, chunk long, prefixes binary, rests binary, doc_ids binary, members binary, starts binary,"
+    "part long, chunk long, firsts binary, seconds binary, doc_ids binary, members binary, starts binary,"
     " keys array<long>, own_members binary, own_starts binary"
 )
 REMOVED = "doc_id long, text_hash long, starts array<int>"
@@ -52,29 +54,32 @@ class Windows:
     _at: np.ndarray
     _sums: np.ndarray
     _inverse: np.ndarray
-    _grams: np.ndarray
+    _words: pa.DictionaryArray
 
     def prints(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Fingerprints of the prefix up to the anchor's end, and of the whole window."""
-        at, wanted = self._at[chosen], self.anchors[chosen]
-        length = np.full(len(at), WINDOW)
-        for o in reversed(range(SPAN)):
-            length[self._grams[at + o] == wanted] = o + GRAM
-        of = lambda n: mixed((self._sums[at + n] - self._sums[at]) * self._inverse[at])
-        return of(length) >> np.uint64(8), (of(WINDOW) >> np.uint64(32)).astype(np.uint32)
+        """Two independent 64-bit fingerprints of whole windows."""
+        at = self._at[chosen]
+        of = lambda sums, inverse: mixed((sums[at + WINDOW] - sums[at]) * inverse[at])
+        others = hash_words(self._words.dictionary, SECOND_KEY)[self._words.indices.to_numpy()]
+        return of(self._sums, self._inverse), of(*running(others, SECOND_BASE))
+
+
+def running(hashes: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the hashes up to each place, weighted by powers of ``base``, and the inverse powers."""
+    powers = np.multiply.accumulate(np.full(len(hashes) + 1, base))
+    inverse = np.multiply.accumulate(np.full(len(hashes) + 1, np.uint64(pow(int(base), -1, 1 << 64))))
+    return np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers[:-1], dtype=np.uint64)]), inverse
 
 
 def windows(texts: pa.Array) -> Windows:
     offsets, words = split_words(texts)
-    hashes = hash_words(words)
-    powers = np.multiply.accumulate(np.full(len(hashes) + 1, BASE))
-    inverse = np.multiply.accumulate(np.full(len(hashes) + 1, INVERSE))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers[:-1], dtype=np.uint64)])
+    words = words.dictionary_encode()
+    sums, inverse = running(hash_words(words.dictionary)[words.indices.to_numpy()], BASE)
     counts = np.diff(offsets)
     long = np.flatnonzero(counts >= WINDOW)
     sizes = counts[long] - WINDOW + 1
     at = ragged(offsets[long], sizes)
-    anchors = grams = np.zeros(0, np.uint64)
+    anchors = np.zeros(0, np.uint64)
     if len(at):
         grams = mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[: len(sums) - GRAM])
         least, width = grams, 1
@@ -83,7 +88,7 @@ def windows(texts: pa.Array) -> Windows:
         least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
         anchors = least[at]
     texts_of = np.repeat(long, sizes)
-    return Windows(texts_of, at - offsets[texts_of], anchors, at, sums, inverse, grams)
+    return Windows(texts_of, at - offsets[texts_of], anchors, at, sums, inverse, words)
 
 
 def _parts(docs: DataFrame) -> int:
@@ -128,15 +133,15 @@ def shared_anchors(docs: DataFrame, parts: int) -> DataFrame:
 
 def _suffix_batch(rows: list[dict]) -> pa.RecordBatch:
     kinds = [("part", pa.int64()), ("chunk", pa.int64())]
-    kinds += [(c, pa.binary()) for c in ("prefixes", "rests", "doc_ids", "members", "starts")]
+    kinds += [(c, pa.binary()) for c in ("firsts", "seconds", "doc_ids", "members", "starts")]
     kinds += [("keys", pa.list_(pa.int64())), ("own_members", pa.binary()), ("own_starts", pa.binary())]
     return pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
 
-def nodes(prefixes: np.ndarray, rests: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort suffixes into their trees: the order, and for each the smallest document at its node."""
-    order = np.lexsort((rests, prefixes))
-    p, r = prefixes[order], rests[order]
+def nodes(firsts: np.ndarray, seconds: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sort suffixes by their windows' prints: the order, and for each the smallest document at its node."""
+    order = np.lexsort((seconds, firsts))
+    p, r = firsts[order], seconds[order]
     starts = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (r[1:] != r[:-1])])) if len(p) else np.zeros(0, np.int64)
     least = np.empty(len(p), np.int64)
     if len(p):
@@ -157,36 +162,37 @@ def removed_starts(packed_docs: DataFrame, anchors: DataFrame, parts: int) -> Da
             salt = lambda of, h: mixed(h + np.asarray(of).astype(np.uint64) * BASE)
             wanted = salt(np.repeat(np.arange(len(batch)), np.diff(ends)), shared)
             chosen = np.flatnonzero(np.isin(salt(found.texts, found.anchors >> np.uint64(8)), wanted))
-            prefixes, rests = found.prints(chosen)
+            firsts, seconds = found.prints(chosen)
             members, starts = found.texts[chosen].astype(np.uint32), found.starts[chosen].astype(np.uint32)
             doc_ids = batch["doc_id"].to_numpy()[members]
-            order, least = nodes(prefixes, rests, doc_ids)
+            order, least = nodes(firsts, seconds, doc_ids)
             chunk, number = (TaskContext.get().partitionId() << 32) + number, number + 1
             keys = np.column_stack([batch["doc_id"].to_numpy(), batch["text_hash"].to_numpy()]).reshape(-1)
             done = doc_ids > least
             blocks = [{"part": parts + chunk % parts, "chunk": chunk, "keys": keys.tolist(), "own_members": packed(members[done]), "own_starts": packed(starts[done])}]
             order = order[~done[order]]
-            prefixes, rests, doc_ids, members, starts = (x[order] for x in (prefixes, rests, doc_ids, members, starts))
-            cuts = np.searchsorted(prefixes, np.array([(p << 56) // parts for p in range(parts + 1)], np.uint64))
+            firsts, seconds, doc_ids, members, starts = (x[order] for x in (firsts, seconds, doc_ids, members, starts))
+            edges = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
+            cuts = [0, *np.searchsorted(firsts, edges), len(firsts)]
             for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if b > a:
-                    columns = {"rests": rests, "doc_ids": doc_ids, "members": members, "starts": starts}
+                    columns = {"seconds": seconds, "doc_ids": doc_ids, "members": members, "starts": starts}
                     block = {c: packed(x[a:b]) for c, x in columns.items()}
-                    blocks.append({"part": p, "chunk": chunk, "prefixes": packed(np.diff(prefixes[a:b], prepend=np.uint64(0))), **block})
+                    blocks.append({"part": p, "chunk": chunk, "firsts": packed(np.diff(firsts[a:b], prepend=np.uint64(0))), **block})
             yield _suffix_batch(blocks)
 
     def subtrees(part: pa.Table) -> pa.Table:
         blocks = part.to_pylist()
         filled = [b for b in blocks if b["keys"] is None]
         if filled:
-            prefixes = [np.cumsum(unpacked(b["prefixes"], np.uint64), dtype=np.uint64) for b in filled]
-            rests = np.concatenate([unpacked(b["rests"], np.uint32) for b in filled])
+            firsts = [np.cumsum(unpacked(b["firsts"], np.uint64), dtype=np.uint64) for b in filled]
+            seconds = np.concatenate([unpacked(b["seconds"], np.uint64) for b in filled])
             doc_ids = np.concatenate([unpacked(b["doc_ids"], np.int64) for b in filled])
-            later = doc_ids > nodes(np.concatenate(prefixes), rests, doc_ids)[1]
-            for block, own in zip(filled, np.split(later, np.cumsum([len(p) for p in prefixes])[:-1])):
+            later = doc_ids > nodes(np.concatenate(firsts), seconds, doc_ids)[1]
+            for block, own in zip(filled, np.split(later, np.cumsum([len(p) for p in firsts])[:-1])):
                 for c in ("members", "starts"):
                     block[c] = packed(unpacked(block[c], np.uint32)[own])
-                block |= {"prefixes": None, "rests": None, "doc_ids": None}
+                block |= {"firsts": None, "seconds": None, "doc_ids": None}
         return pa.Table.from_batches([_suffix_batch(blocks)])
 
     def gather(chunk: pa.Table) -> pa.Table:

@@ -66,12 +66,16 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Ar
     return before[offsets - offsets[0]], flat.filter(filled)
 
 
-def hash_words(words: pa.Array) -> np.ndarray:
+#: The key of pandas.
+HASH_KEY = "0123456789123456"
+
+
+def hash_words(words: pa.Array, key: str = HASH_KEY) -> np.ndarray:
     """64-bit keyed hashes of words; each different word is hashed once."""
     codes = words.dictionary_encode()
     if not len(codes.dictionary):
         return np.zeros(0, np.uint64)
-    hashed = pd.util.hash_array(codes.dictionary.to_numpy(zero_copy_only=False), categorize=False)
+    hashed = pd.util.hash_array(codes.dictionary.to_numpy(zero_copy_only=False), hash_key=key, categorize=False)
     return hashed[codes.indices.to_numpy()]
 
 

@@ -140,6 +140,15 @@ def test_substring_removal_equals_brute_force(table):
     assert sum(r.n_removed for r in got) > 0
 
 
+def test_windows_that_differ_in_one_word_stay_apart(spark):
+    """The last words were chosen so that the windows agree in 32 bits of one print."""
+    shared = " ".join(f"p{i}" for i in range(49))
+    pairs = [("t22972", "t73363"), ("t11204", "t174616"), ("t68557", "t182575")]
+    docs = [(2 * i + k, f"{shared} {pair[k]}") for i, pair in enumerate(pairs) for k in (0, 1)]
+    rows = substrings.removal_digests(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(rows) == 6 and not any(r.n_removed for r in rows)
+
+
 def test_substring_removal_keeps_columns(table, empty):
     left = substrings.remove_repeats(table)
     assert left.columns == [*table.columns, "n_removed"]
