@@ -1,7 +1,8 @@
-"""Removal of long passages that an earlier document has, by prefix-partitioned suffix trees.
+"""Removal of long passages that an earlier document has, by fingerprints of windows.
 
-A suffix of a document matters for its first ``WINDOW`` words only, so its tree is cut at that
-depth, and a node there stands for one sequence of words with all places where it starts.
+A suffix of a document matters for its first ``WINDOW`` words only. A suffix tree cut at that depth
+would have a node for each sequence of so many words, with all places where it starts; equal
+fingerprints give the same nodes without the tree, whose inner nodes nothing asks for.
 
 1. Anchors: of the k-grams in each window that with the least hash. Equal windows have equal
    anchors, so a window whose anchor no other document has is unique and never indexed.

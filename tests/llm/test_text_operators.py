@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -149,6 +150,13 @@ def test_windows_that_differ_in_one_word_stay_apart(spark):
     assert len(rows) == 6 and not any(r.n_removed for r in rows)
 
 
+def test_windows_with_a_crowded_prefix_are_dealt_out():
+    shared = " ".join(f"p{i}" for i in range(49))
+    found = substrings.windows(pa.array([f"{shared} t{i}" for i in range(640)]))
+    firsts = found.prints(np.arange(len(found.texts)))[0]
+    assert np.bincount((firsts >> np.uint64(58)).astype(int), minlength=64).max() <= 40
+
+
 def test_substring_removal_keeps_columns(table, empty):
     left = substrings.remove_repeats(table)
     assert left.columns == [*table.columns, "n_removed"]
