@@ -318,13 +318,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``).
+    """``doc_id, text_hash, n_shingles, component_id, first`` of every row of ``docs`` (``doc_id, text``).
 
     Documents link if their sets of ``size``-word shingles have a Jaccard similarity of
     ``percent`` / 100 or more (at least 70); the component is the smallest id reachable over links.
     A text of fewer words is one shingle; null texts and texts without words have none and link
     with nothing. Repeated ids are separate rows; null ids count only where a component has no
-    other. ``text_hash`` is Spark's ``xxhash64`` of the text. Equal sets are one class from the start, so groups of copies cost one comparison.
+    other. ``text_hash`` is Spark's ``xxhash64`` of the text; ``first`` tells the component's row with
+    the smallest id (nulls last), then the smallest ``text_hash``, and its copies. Equal sets are one class from the start, so groups of copies cost one comparison.
     """
     if percent < 70:
         raise ValueError("prefixes of pairs need a similarity of 0.7 or more")
@@ -364,18 +365,20 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rows = sets.select("row", "doc_id", "text_hash", "n_shingles")
     rows = rows.join(found.withColumnRenamed("node", "row"), "row", "left")
     rows = kept(rows.withColumn("component", F.coalesce("component", "row")), "members")
-    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component").select("doc_id", "text_hash", "n_shingles", "component_id")
+    key = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")
+    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(key).alias("least"))
+    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    return rows.join(least, "component").select("doc_id", "text_hash", "n_shingles", "component_id", first.alias("first"))
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` of which no linked document has a smaller id.
+    """One row of each group of linked ``docs``: that with the smallest id.
 
-    Rows that agree in id and text count as one and one of them stays; a row without id goes if a
-    linked document has one, else it stays.
+    Rows that agree in id and text count as one. Of several texts under one smallest id, and of a
+    group without ids, that with the smallest hash stays.
     """
     classes = jaccard_components(docs, size, percent)
-    gone = classes.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = classes.filter("not first")
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__gone"))
     rows = docs.withColumn("__hash", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__gone"))

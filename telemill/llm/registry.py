@@ -31,7 +31,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 @query
 def op1_ngram_jaccard(spark, d):
-    return ngram_join.jaccard_components(table(spark, d, "documents"), size=3, percent=90).drop("text_hash")
+    return ngram_join.jaccard_components(table(spark, d, "documents"), size=3, percent=90).drop("text_hash", "first")
 
 
 @query

@@ -116,6 +116,14 @@ def test_one_of_each_near_duplicate_class_stays(table):
     assert ids[None] == 1
 
 
+def test_one_near_copy_stays_without_ids_or_under_one_id(spark):
+    texts = [" ".join(f"{group}{i}" for i in range(200 - cut)) for group in "ab" for cut in (0, 1, 2)]
+    rows = [(None if t.startswith("a") else 7, t) for t in texts] + [(9, texts[-1]), (None, "alone"), (None, None)]
+    left = ngram_join.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kinds = sorted((str(r.doc_id), (r.text or "-")[:2]) for r in left)
+    assert kinds == [("7", "b0"), ("None", "-"), ("None", "a0"), ("None", "al")]
+
+
 def removal(rows):
     first = {}
     for doc_id, text in rows:
