@@ -9,9 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemill.llm.words import in_small_batches
+from telemill.llm.words import in_small_batches, kept
 
-#: Bounds of the learning sample: labelled documents of each class, and characters of each.
+#: Bounds of the learning sample: labelled ids and texts of each class, and characters of each.
 SAMPLE, LONGEST = 1500, 32_000
 DICTIONARY_BYTES = 512 << 10
 LEVEL = 3
@@ -73,21 +73,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 5
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> QualityModel:
     """Learn from labelled documents outside the held-out part.
 
-    Of each class the ``sample`` labelled ids that come first by hash are taken, those of at most
-    ``longest`` characters; half fill the dictionaries, the other half calibrates. These bounds
-    hold the driver's share; scoring covers all rows. Null ids, texts and labels are not learned
-    from; repeated labels count each. Without a class, or without labels, the score is the share of
-    label 1 seen (one half if none).
+    Of each class the ``sample`` different labelled ids that come first by hash are taken, and of
+    their different texts of at most ``longest`` characters the first ``sample``; half fill the
+    dictionaries, each up to ``DICTIONARY_BYTES``, the other half calibrates. These bounds hold the
+    driver's share; scoring covers all rows. Null ids, texts and labels are not learned from;
+    repeated labels and repeated rows count once. Without a class, or without labels, the score is
+    the share of label 1 seen (one half if none).
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
     order = [F.xxhash64("doc_id"), "doc_id"]
+    usable = usable.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     picked = [usable.filter(F.col("quality") == q).orderBy(*order).limit(sample) for q in (0, 1)]
-    ids = picked[0].union(picked[1]).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    ids = picked[0].union(picked[1])
     texts = docs.select("doc_id", "text").filter(F.char_length("text").between(1, longest))
-    rows = texts.join(F.broadcast(ids), "doc_id").orderBy(*order, "quality", "text").limit(4 * sample).collect()
-    by_class = {q: [r["text"].encode() for r in rows if r["quality"] == q] for q in (0, 1)}
+    found = kept(texts.join(F.broadcast(ids), "doc_id").distinct(), "labelled_texts")
+    by_class = {}
+    for q in (0, 1):
+        rows = found.filter(F.col("quality") == q).orderBy(*order, "text").limit(sample).collect()
+        by_class[q] = [r["text"].encode() for r in rows]
     if not all(len(t) > 1 for t in by_class.values()):
-        share = (len(by_class[1]) + 0.5) / (len(rows) + 1)
+        share = (len(by_class[1]) + 0.5) / (len(by_class[0]) + len(by_class[1]) + 1)
         return QualityModel(b"", b"", (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     bad, good = (b"\n".join(by_class[q][::2])[:DICTIONARY_BYTES] for q in (0, 1))
     sizes = Sizes(good, bad, LEVEL)

@@ -297,6 +297,14 @@ def test_quality_edge_cases(spark, table, empty):
     assert quality.quality_scores(empty, both).count() == 0
 
 
+def test_a_repeated_labelled_id_leaves_room_for_the_other_class(spark):
+    docs = [(1, "bad text")] * 400 + [(i, f"text number {i}") for i in range(2, 60)]
+    labels = [(i, int(i > 1 and i % 2), 0) for i in range(1, 60)] + [(1, 0, 0)] * 50
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), sample=30)
+    assert model.good.count(b"\n") >= 9 and model.bad.count(b"\n") >= 9
+
+
 def brute_forward(model, symbols):
     alpha, total = model.start, 0.0
     for i, s in enumerate(symbols):
