@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill.llm import hmm, host_rules, mixing, near_vectors, ngram_join, packing, quality, substrings, token_store, warc
+from telemill.llm import hmm, host_rules, mixing, near_vectors, ngram_join, packing, quality, substrings, token_store, warc, winnowing
 from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ def op10_token_orc(spark, d, tokenizer_path: str | None = None):
     tokenizer_path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     token_store.write_tokens(table(spark, d, "documents"), path, tokenizer_path, end_id=2)
     return token_store.token_digests(spark, path)
+
+
+@query
+def op13_winnowing(spark, d):
+    return winnowing.edited_likeness(table(spark, d, "documents"))
