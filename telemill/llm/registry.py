@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemill.llm import hmm, host_rules, mixing, near_vectors, ngram_join, packing, quality, substrings, token_store, warc, winnowing
+from telemill.llm import hmm, host_rules, mixing, near_vectors, ngram_join, packing, prefix_trie, quality, substrings, token_store, warc, winnowing
 from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,7 @@ SQL = {
     "op7_warc": warc.SQL,
     "op8_host_rules": host_rules.SQL,
     "op9_mixing": mixing.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
 
 
@@ -84,6 +85,11 @@ def op10_token_orc(spark, d, tokenizer_path: str | None = None):
     return token_store.token_digests(spark, path)
 
 
+@query
+def op12_prefix_trie(spark, d):
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"), graft=prefix_trie.GRAFT)
+
+
 @query
 def op13_winnowing(spark, d):
     return winnowing.edited_likeness(table(spark, d, "documents"))

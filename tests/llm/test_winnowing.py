@@ -16,8 +16,9 @@ from telemill.llm.registry import QUERIES
 def plain(text, gram=w.GRAM, window=w.WINDOW):
     """Positions and hashes of a text, window by window."""
     grams = [text[i : i + gram] for i in range(max(1, len(text) - gram + 1))] if text else []
-    known = {}
-    hashes = [known.setdefault(g, int(w.gram_hashes(np.array([ord(c) for c in g], np.uint32), gram)[0])) for g in grams]
+    of = lambda g: w.gram_hashes(np.array([ord(c) for c in g], np.uint32), gram).tolist()
+    # gram by gram, but for long texts
+    hashes = [of(g)[0] for g in grams] if len(text) < 1000 else of(text)
     picked = []
     for i in range(max(1, len(hashes) - window + 1)) if hashes else []:
         part = hashes[i : i + window]
