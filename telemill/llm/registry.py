@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemill.llm import hmm, host_rules, mixing, near_vectors, ngram_join, packing, prefix_trie, quality, substrings, token_store, warc, winnowing
+from telemill.llm import hard_negatives, hmm, host_rules, mixing, near_vectors, ngram_join, packing, prefix_trie, quality, substrings, token_store, warc, winnowing
 from telemill.sources.scratch import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,7 @@ SQL = {
     "op7_warc": warc.SQL,
     "op8_host_rules": host_rules.SQL,
     "op9_mixing": mixing.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
     "op12_prefix_trie": prefix_trie.SQL,
 }
 
@@ -85,6 +86,13 @@ def op10_token_orc(spark, d, tokenizer_path: str | None = None):
     return token_store.token_digests(spark, path)
 
 
+@query
+def op11_hard_negatives(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, d, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, anchor=F.col("vec_id") % 50 == 0)
+
+
 @query
 def op12_prefix_trie(spark, d):
     return prefix_trie.prefix_trie(table(spark, d, "conversations"), graft=prefix_trie.GRAFT)

@@ -26,20 +26,26 @@ def plain(rows, graft=None):
         h = zlib.crc32(str(c).encode()) % modulus
         base = c - (c % group if c >= 0 else -(-c % group))
         built[c] = own.get(base, [])[:h] + turns[h:]
-    members = {}
-    for c, turns in built.items():
-        for d in range(len(turns) + 1):
-            members.setdefault(tuple(turns[:d]), []).append(c)
-    out = []
-    for key, convs in members.items():
-        below = [k for k in members if k[: len(key)] == key]
-        leaves = [k for k in below if not any(len(x) == len(k) + 1 and x[: len(k)] == k for x in members)]
-        saved = sum((len(members[k]) - 1) * len(k[-1][1].encode().split()) for k in below if k)
-        ends = ",".join(str(c) for c in sorted(convs) if len(built[c]) == len(key))
-        children = sum(len(k) == len(key) + 1 for k in below)
-        parent = min(members[key[:-1]]) if key else None
-        digest = hashlib.sha256(ends.encode()).hexdigest()
-        out.append((min(convs), len(key), parent, len(convs), children, len(leaves), saved, digest))
+    root = {"members": list(built), "below": {}, "words": 0}
+    for c in sorted(built):
+        node = root
+        for turn in built[c]:
+            new = {"members": [], "below": {}, "words": len(turn[1].encode().split())}
+            node = node["below"].setdefault(turn, new)
+            node["members"].append(c)
+    out, path = [], [(root, 0, None)]
+    order = []
+    while path:
+        node, depth, parent = path.pop()
+        order.append((node, depth, parent))
+        path += [(n, depth + 1, node) for n in node["below"].values()]
+    for node, depth, parent in reversed(order):
+        below = node["below"].values()
+        node["leaves"] = sum(n["leaves"] for n in below) or 1
+        node["saved"] = sum(n["saved"] for n in below) + (len(node["members"]) - 1) * node["words"]
+        ends = ",".join(str(c) for c in sorted(node["members"]) if len(built[c]) == depth)
+        digest, up = hashlib.sha256(ends.encode()).hexdigest(), min(parent["members"]) if parent else None
+        out.append((min(node["members"]), depth, up, len(node["members"]), len(below), node["leaves"], node["saved"], digest))
     return sorted(out, key=str)
 
 
@@ -52,8 +58,8 @@ def odd_rows():
             continue  # groups without a first conversation
         for turn in range(rng.randint(1, 6)):
             rows.append((c, turn * 2, rng.choice(["user", "assistant", None]), rng.choice(words) if turn else "start"))
-    rows += [(7, None, "user", "first of all"), (8, 0, "user", "start"), (8, 0, "user", "start"), (8, 0, None, None)]
-    rows += [(90, i, "user", f"turn {i % 3}") for i in range(700)]  # a long conversation
+    rows += [(7, None, "user", "first of all"), (8, 100, "user", "start"), (8, 100, "user", "start"), (9, 100, None, None)]
+    rows += [(90, 1000 + i, "user", f"turn {i % 3}") for i in range(700)]  # a long conversation
     rows += [(200 + i, t, "user", "same words again" if t < 3 else "end") for i in range(60) for t in range(4)]
     rows += [(None, 1, "user", "lost"), (400, 0, None, None), (401, 0, "user", "Ä ü\x1cw"), (402, 1, "user", "x " * 20_000)]
     rng.shuffle(rows)
@@ -69,9 +75,13 @@ def test_trie_equals_plain_trie(spark, graft, monkeypatch):
     for name in ("part", "id", "at", "head", "length", "depth", "conv"):
         frame = frame.withColumn(name, frame["turn"])
     got = sorted(map(tuple, pt.prefix_trie(frame, graft).collect()), key=str)
-    # equal turns of different text (conversation 8) may come in either order
-    swapped = [(c, t, r, x) if (c, x) != (8, None) else (8, -1, r, x) for c, t, r, x in rows]
-    assert got in (plain(rows, graft), plain(swapped, graft))
+    assert got == plain(rows, graft)
+
+
+def test_equal_turns_have_one_order(spark):
+    rows = [(1, 0, "user", "x"), (1, 0, "user", "y"), (2, 0, "user", "y"), (2, 0, "user", "x")]
+    got = sorted(map(tuple, pt.prefix_trie(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    assert got == plain([(c, 0, r, x) for c, _, r, x in rows])
 
 
 def test_trie_of_nothing_and_of_one_turn(spark):
