@@ -555,6 +555,11 @@ _BODIES: dict[str, tuple[str, str]] = {
 
 
 # Queries over the feed with a vehicle per user and a batch per day, by the query they repeat.
+_FROM_ROLLUPS = (
+    "vehicle_speed_summary", "vehicle_battery_summary", "vehicle_max_temp", "vehicle_fault_distribution",
+    "latest_window_per_vehicle", "table_totals", "fleet_summary",
+)
+_NEWEST = ("recent_window_metrics", "latest_telemetry", "latest_telemetry_desc", "recent_faults", "recent_windows")
 _WIDE = ("window_kpis", "stream_dedup", "latest_window_state", "vehicle_speed_summary", "fleet_summary", "invalid_counts")
 
 
@@ -569,5 +574,13 @@ def _widened(ctes: str) -> str:
 def checks() -> dict[str, str]:
     """Query name to SQL."""
     wide = {f"{name}_wide": (_widened(_BODIES[name][0]), _BODIES[name][1]) for name in _WIDE}
-    wide["compacted_state"] = _BODIES["latest_window_state"]
+    same = {
+        "compacted_state": "latest_window_state",
+        "compacted_late_run": "latest_window_state",
+        "version_diff": "snapshot_diff",
+        "newest_top_faults": "top10_faults",
+        **{f"rollup_{name}": name for name in _FROM_ROLLUPS},
+        **{f"newest_{name}": name for name in _NEWEST},
+    }
+    wide |= {name: _BODIES[of] for name, of in same.items()}
     return {name: f"WITH {ctes.lstrip()} {body}" for name, (ctes, body) in (_BODIES | wide).items()}

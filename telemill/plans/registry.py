@@ -16,10 +16,10 @@ from pyspark.sql.types import TimestampType
 from telemill.config import MEASURES, REQUIRED_FIELDS
 from telemill.functions import numbers, text, times
 from telemill.operators import analytics as an, changelog as cl, decode, dedup
-from telemill.operators import normalize as no, validate as va, windows as wi
+from telemill.operators import normalize as no, rollups, validate as va, windows as wi
 from telemill.plans import batch as plan
 from telemill.schema import CHANGELOG, DEAD_LETTER, EVENT, WINDOW_COLUMNS
-from telemill.sources import console_log, curated, feed, kafka
+from telemill.sources import console_log, curated, feed, kafka, versions
 from telemill.sources.scratch import scratch_dir
 from telemill.streaming import job, metrics
 
@@ -146,13 +146,95 @@ def curated_scan(spark, d):
     return curated.read_curated(spark, base).select("vehicle_id", "window_start", "event_count", "date", "batch_id")
 
 
+def _batches_written(spark: SparkSession, d: str, name: str) -> str:
+    base = scratch_dir(spark, name)
+    curated.write_curated(_changelog(spark, d), base, F.col("batch_id"), curated.event_date())
+    return base
+
+
+def _stored_versions(spark: SparkSession, d: str, name: str, last: int = 2) -> str:
+    """Batches 0 and 1 as version 1, batch 2 as version 2 or, if ``last`` is 1, still pending."""
+    base = _batches_written(spark, d, name)
+    for batch in range(1, last + 1):
+        versions.compact(spark, base, batch)
+    return base
+
+
 @query
 def compacted_state(spark, d):
-    base = scratch_dir(spark, "compacted")
-    curated.write_curated(_changelog(spark, d), base, F.col("batch_id"), curated.event_date())
-    curated.compact(spark, base, 0)
-    curated.compact(spark, base, 1)
-    return curated.read_compacted_state(spark, base)
+    base = _batches_written(spark, d, "compacted")
+    versions.compact(spark, base, 0)
+    versions.compact(spark, base, 1)
+    return versions.read_compacted_state(spark, base)
+
+
+@query
+def compacted_late_run(spark, d):
+    """A batch of an older run arrives after newer ones were compacted and their folders expired."""
+    base, changes = scratch_dir(spark, "late-run"), _changelog(spark, d)
+    newer = changes.filter("batch_id <> 1")
+    curated.write_curated(newer, base, F.col("batch_id"), curated.event_date())
+    versions.compact(spark, base)
+    versions.expire(spark, base)
+    curated.write_curated(changes.filter("batch_id = 1"), base, F.col("batch_id"), curated.event_date())
+    versions.compact(spark, base)
+    versions.expire(spark, base)
+    return versions.read_compacted_state(spark, base)
+
+
+@query
+def version_diff(spark, d):
+    base = _stored_versions(spark, d, "version-diff")
+    return versions.version_diff(spark, base, 1, 2).select("vehicle_id", "window_start", "event_count", "change")
+
+
+def _on_rollups(operator: Callable[[DataFrame], DataFrame], last: int) -> None:
+    def build(spark, d):
+        return operator(versions.read_rollups(spark, _stored_versions(spark, d, "rollups", last)))
+
+    build.__name__ = f"rollup_{operator.__name__}"
+    query(build)
+
+
+for _operator in (
+    rollups.vehicle_speed_summary,
+    rollups.vehicle_max_temp,
+    rollups.vehicle_fault_distribution,
+    rollups.latest_window_per_vehicle,
+    rollups.table_totals,
+):
+    _on_rollups(_operator, last=2)
+_on_rollups(rollups.fleet_summary, last=1)
+
+
+@query
+def rollup_vehicle_battery_summary(spark, d):
+    summary = rollups.vehicle_battery_summary(versions.read_rollups(spark, _stored_versions(spark, d, "rollups", 1)))
+    return summary.withColumns({c: numbers.round_to(F.col(c), 6) for c in ("min_battery_pct", "max_battery_pct")})
+
+
+def _on_newest(operator: Callable[[DataFrame], DataFrame], count: int, faults: bool = False, last: int = 2) -> None:
+    def build(spark, d):
+        base = _stored_versions(spark, d, "newest", last)
+        return operator(versions.newest_windows(spark, base, count, faults))
+
+    build.__name__ = f"newest_{operator.__name__}"
+    query(build)
+
+
+_on_newest(an.recent_window_metrics, 50)
+_on_newest(an.latest_telemetry, 100)
+_on_newest(an.latest_telemetry_desc, 100, last=1)
+_on_newest(an.recent_faults, 50, faults=True)
+_on_newest(an.top_faults, 10, faults=True, last=1)
+
+
+@query
+def newest_recent_windows(spark, d):
+    base = _stored_versions(spark, d, "newest")
+    end = versions.newest_end(spark, base)
+    as_of = F.timestamp_micros(F.lit(None if end is None else round(end * 1e6)).cast("bigint"))
+    return an.recent_windows(versions.windows_since(spark, base, (end or 0) - 1800), as_of=as_of)
 
 
 @query

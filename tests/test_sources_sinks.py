@@ -1,6 +1,5 @@
 import datetime as dt
 import json
-import re
 from pathlib import Path
 
 import pytest
@@ -252,38 +251,6 @@ def test_producer_settings_from_the_environment(monkeypatch):
     assert kafka.producer_options("c:2", "mine")["topic"] == "mine"
 
 
-def test_incremental_compaction_equals_one_shot(spark, windows, base):
-    days = windows.unionByName(windows.withColumns({c: F.col(c) + F.expr("INTERVAL 3 DAYS") for c in ("window_start", "window_end")}))
-    for batch in range(5):
-        part = days.withColumn("event_count", F.col("event_count") + batch)
-        part = part if batch % 2 else part.filter("window_start < '2026-09-19'")
-        curated.write_curated(part, base, batch, curated.event_date())
-        if batch in (1, 3):
-            curated.compact(spark, base, batch)
-        want = curated.read_state(spark, base)
-        got = curated.read_compacted_state(spark, base)
-        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    assert curated.last_compacted(spark, base) == 3
-    written = {(r.date, r.upto) for r in spark.read.schema(curated.COMPACTED).parquet(f"{base}/{curated.COMPACTED_DIR}").select("date", "upto").collect()}
-    assert written == {(d, n) for d in ("2026-09-17", "2026-09-20") for n in (1, 3)}
-
-
-def test_failed_compaction_leaves_no_trace(spark, windows, base):
-    curated.write_curated(windows, base, 0, curated.event_date())
-    curated.compact(spark, base, 0)
-    stale = windows.withColumns({"event_count": F.lit(99).cast("bigint"), "batch_id": F.lit(1).cast("bigint"), "date": curated.event_date(), "upto": F.lit(1).cast("bigint")})
-    stale.write.mode("append").partitionBy("date", "upto").parquet(f"{base}/{curated.COMPACTED_DIR}")  # never marked as done
-    assert not curated.read_compacted_state(spark, base).filter("event_count = 99").count()
-
-
-def test_compacted_dates_prune(spark, windows, base, plan_of):
-    curated.write_curated(windows, base, 0, curated.event_date())
-    curated.compact(spark, base, 0)
-    plan = plan_of(curated.read_compacted_state(spark, base, ("2026-09-17", "2026-09-17")))
-    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= 2026-09-17", plan)
-    assert curated.read_compacted_state(spark, base, ("2020-01-01", "2020-01-02")).count() == 0
-
-
 def test_later_lines_of_a_log_win_over_larger_batch_ids(spark, tmp_path):
     row = "|BMW-1|2026-09-17 10:00:00|2026-09-17 10:05:00|{}|80.0|20.0|0|{}|"
     log = tmp_path / "job.log"
