@@ -25,14 +25,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from telemill.llm.words import kept
 
 SAMPLE, PIVOTS, SHARD_ROWS, BLOCK_ROWS = 4096, 1024, 2048, 4096
-FAN, LEAF, SHRINK = 16, 64, 2.0
+FAN, LEAF, SHRINK = 16, 256, 2.0
 QUERIES_AT_ONCE, QUERIES_A_TASK = 256, 1 << 16
 SCALE = 256
 #: Bounds are widened by this share of the largest product, for rounding.
 SLACK = 1e-6
 
-QUERY = "asker long, positive long, home long, label long, same boolean, low double, high double, vector array<double>"
-FOUND = "asker long, positive long, row long, id long, score long"
+#: A query has several windows, ``low[i]`` to ``high[i]``; a result names the one it belongs to.
+QUERY = "asker long, home long, label long, same boolean, low array<double>, high array<double>, vector array<double>"
+FOUND = "asker long, window long, row long, id long, score long"
 
 
 def stacked(lists: pa.Array) -> np.ndarray:
@@ -110,34 +111,46 @@ class CoverTree:
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def search(self, q: np.ndarray, low: np.ndarray, high: np.ndarray, allowed, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-        """Each query's ``k`` best points of its window by (score, smaller id): query, point, score.
+        """The ``k`` best points by (score, smaller id) of each window: query, window, point, score.
 
-        ``allowed(queries, points)`` tells which pairs may be returned, ``ids`` are those of the points.
+        ``low`` and ``high`` have a row for each query and a column for each window. ``allowed(queries,
+        points)`` tells which pairs may be returned, ``ids`` are those of the points.
         """
-        norms, of_leaf = np.linalg.norm(q, axis=1), ids[self.order]
-        at, leaf, upper = self.leaves_for(q, norms, low, high)
+        norms, windows = np.linalg.norm(q, axis=1), low.shape[1]
+        at, leaf, upper = self.leaves_for(q, norms, low.min(1), high.max(1))
         by_bound = np.lexsort((-upper, at))
         at, leaf, upper = at[by_bound], leaf[by_bound], upper[by_bound]
         nth = np.arange(len(at)) - np.searchsorted(at, at)
-        score, point = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
+        # whole numbers below 2 ** 24 are exact in single precision
+        kind = np.float32 if self.most * norms.max(initial=0) < 1 << 24 else np.float64
+        q, x = q.astype(kind), self.x.astype(kind)
+        least = low.copy()  # of each window: what a point has to reach now
+        best = [np.zeros(0, t) for t in (np.int64, np.float64, np.int64)]  # place (query and window), score, point
         begin, step = 0, 1
         while begin <= nth.max(initial=-1):
-            turn = np.flatnonzero((nth >= begin) & (nth < begin + step) & ~(upper < score[at, k - 1]))
+            turn = np.flatnonzero((nth >= begin) & (nth < begin + step) & ~(upper < least[at].min(1)))
+            new = [best]
             for one in np.unique(leaf[turn]):
                 asked, (a, b) = at[turn[leaf[turn] == one]], self.leaves[one]
-                new = q[asked] @ self.x[a:b].T
-                good = (new >= low[asked, None]) & (new <= high[asked, None]) & allowed(asked, self.order[a:b])
-                new[~good] = -np.inf
-                better = (new >= score[asked, k - 1 :]).any(1) & good.any(1)
-                asked, new = asked[better], new[better]
-                every = np.hstack([score[asked], new])
-                who = np.hstack([point[asked], np.broadcast_to(self.order[a:b], new.shape)])
-                named = np.hstack([ids[point[asked]], np.broadcast_to(of_leaf[a:b], new.shape)])
-                best = np.lexsort((named, -every), axis=-1)[:, :k]
-                score[asked], point[asked] = np.take_along_axis(every, best, 1), np.take_along_axis(who, best, 1)
+                score = q[asked] @ x[a:b].T
+                score[~allowed(asked, self.order[a:b])] = -np.inf
+                for w in range(windows):
+                    good = (score >= least[asked, w, None]) & (score <= high[asked, w, None]) & (score > -np.inf)
+                    some = np.flatnonzero(good.any(1))
+                    own = np.where(good[some], score[some], -np.inf)
+                    if b - a > k:  # only the best of them
+                        own[own < np.partition(own, b - a - k, axis=1)[:, b - a - k, None]] = -np.inf
+                    i, j = np.nonzero(own > -np.inf)
+                    new.append([asked[some[i]] * windows + w, own[i, j].astype(np.float64), self.order[a + j]])
+            place, score, point = (np.concatenate(x) for x in zip(*new))
+            order = np.lexsort((ids[point], -score, place))
+            rank = np.arange(len(order)) - np.searchsorted(place[order], place[order])
+            best = [x[order[rank < k]] for x in (place, score, point)]
+            last = order[rank == k - 1]
+            reached = least.reshape(-1)
+            reached[place[last]] = np.maximum(reached[place[last]], score[last])
             begin, step = begin + step, step * 2
-        at, column = np.nonzero(score > -np.inf)
-        return at, point[at, column], score[at, column]
+        return best[0] // windows, best[0] % windows, best[2], best[1]
 
 
 # --- the index -----------------------------------------------------------------------------------
@@ -222,9 +235,9 @@ def place(rows: DataFrame, pivots: Pivots) -> DataFrame:
 
 
 def search(queries: DataFrame, placed: DataFrame, pivots: Pivots, k: int, at_home: bool | None = None) -> DataFrame:
-    """``FOUND``: for every query at least its ``k`` best rows, some per block visited.
+    """``FOUND``: for every window at least its ``k`` best rows, some per block visited.
 
-    ``queries`` is a ``QUERY``; its window is ``low`` to ``high``. ``at_home`` restricts the visits to the
+    ``queries`` is a ``QUERY``, each with as many windows as the others. ``at_home`` restricts the visits to the
     query's own pivot (``home``), or to all others.
     """
     turns = -(-queries.count() // QUERIES_A_TASK) or 1
@@ -234,7 +247,7 @@ def search(queries: DataFrame, placed: DataFrame, pivots: Pivots, k: int, at_hom
             for size, some in by_size(batch):
                 if size not in pivots.blocks:
                     continue
-                q, low, high = stacked(some["vector"]), some["low"].to_numpy(), some["high"].to_numpy()
+                q, low, high = stacked(some["vector"]), stacked(some["low"]).min(1), stacked(some["high"]).max(1)
                 blocks = pivots.blocks[size]
                 least, largest = bounds(q @ pivots.of(size).T, np.linalg.norm(q, axis=1), pivots.most, pivots.angles[size])
                 wanted = ~(largest < low[:, None]) & ~(least > high[:, None]) & (blocks > 0)
@@ -273,27 +286,27 @@ def search(queries: DataFrame, placed: DataFrame, pivots: Pivots, k: int, at_hom
             alike = label[q][:, None] == labels[p]
             return (alike == same[q][:, None]) & (own[q][:, None] != rows[p])
 
-        at, point, score = tree.search(stacked(asked["vector"]), asked["low"].to_numpy(), asked["high"].to_numpy(), allowed, ids, k)
-        columns = [asked["asker"].take(pa.array(at)), asked["positive"].take(pa.array(at)), rows[point], ids[point], score.astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], [c.split()[0] for c in FOUND.split(", ")])
+        at, window, point, score = tree.search(stacked(asked["vector"]), stacked(asked["low"]), stacked(asked["high"]), allowed, ids, k)
+        columns = [own[at], window, rows[point], ids[point], score.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in FOUND.split(", ")])
 
     visited = queries.mapInArrow(visits, QUERY + ", size int, shard int, blocks long")
     visited = visited.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    visited = visited.withColumns({"turn": F.pmod(F.xxhash64("asker", "positive"), F.lit(turns)), "row": F.col("asker"), "id": F.col("asker")})
+    visited = visited.withColumns({"turn": F.pmod(F.xxhash64("asker"), F.lit(turns)), "row": F.col("asker"), "id": F.col("asker")})
     blocks = F.create_map(*[F.lit(x) for s, n in pivots.blocks.items() for x in (int(s), [int(i) for i in n])])
     count = F.get(blocks[F.col("size")], F.col("shard")) if pivots.blocks else F.lit(1)
     points = placed.withColumn("block", F.pmod(F.xxhash64("row"), count))
     points = points.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long"))))
     columns = ["size", "shard", "block", "turn", "row", "id", "label", "vector"]
-    asking = ["asker", "positive", "same", "low", "high"]
+    asking = ["asker", "same", "low", "high"]
     both = points.select(*columns, *[F.lit(None).alias(c) for c in asking]).unionByName(visited.select(*columns, *asking))
     key = ["size", "shard", "block", "turn"]
-    dealt = both.repartition(*key).sortWithinPartitions(*key, F.col("low").asc_nulls_first())
+    dealt = both.repartition(*key).sortWithinPartitions(*key, F.col("low").isNotNull())
     return dealt.mapInArrow(compare, FOUND)
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("asker", "positive").orderBy(F.desc("score"), "id", "row")
+    order = Window.partitionBy("asker", "window").orderBy(F.desc("score"), "id", "row")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -313,26 +326,30 @@ def hard_negatives(
     rows = usable_vectors(vectors.withColumn("__anchor", anchor).select("vec_id", "label", "embedding", "__anchor"))
     pivots = Pivots(rows)
     placed = place(rows, pivots)
-    none = F.lit(-1).cast("long")
     ask = lambda rows, **c: rows.select(*[c.get(n, F.col(n)).cast(t).alias(n) for n, t in (x.split() for x in QUERY.split(", "))])
-    ends = {"low": F.lit(float("-inf")), "high": F.lit(float("inf"))}
     anchors = placed.filter("anchor").withColumn("home", F.col("shard"))
-    asked = ask(anchors, asker=F.col("row"), positive=none, same=F.lit(True), **ends)
+    unlimited = F.array(F.lit(float("inf")))
+    asked = ask(anchors, asker=F.col("row"), same=F.lit(True), low=F.array(F.lit(float("-inf"))), high=unlimited)
     near = kept(best(search(asked, placed, pivots, positives, at_home=True), positives), "positives_at_home")
-    floor = near.filter(F.col("rank") == positives).select("asker", F.col("score").alias("floor"))
-    others = asked.join(floor, "asker", "left").withColumn("low", F.coalesce("floor", "low")).drop("floor")
+    floor = near.filter(F.col("rank") == positives).select("asker", F.array(F.col("score").cast("double")).alias("floor"))
+    others = asked.join(floor, "asker", "left").withColumn("low", F.coalesce("floor", "low"))
     far = search(ask(others), placed, pivots, positives, at_home=False)
     chosen = best(near.drop("rank").unionByName(far), positives)
-    chosen = kept(chosen.select("asker", F.col("row").alias("to"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
-
-    least = F.ceil(F.col("positive_score") * least_percent / F.lit(100.0))
-    most = F.floor(F.col("positive_score") * most_percent / F.lit(100.0))
-    asked = anchors.withColumnRenamed("row", "asker").join(chosen, "asker")
-    asked = asked.withColumns({"low": least, "high": most, "positive": F.col("to"), "same": F.lit(False)}).filter("low <= high")
-    found = best(search(ask(asked), placed, pivots, negatives), negatives)
-    found = found.select("asker", F.col("positive").alias("to"), "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
+    chosen = chosen.select("asker", (F.col("rank") - 1).cast("long").alias("window"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
+    chosen = kept(chosen, "positives")
+
+    # one query for each anchor, a window for each positive; those that it lacks are empty
+    score, empty = F.col("positive_score"), F.lit(float("inf"))
+    ends = [F.ceil(score * least_percent / F.lit(100.0)).cast("double"), F.floor(score * most_percent / F.lit(100.0)).cast("double")]
+    of = [[F.max(F.when(F.col("window") == i, end)) for i in range(positives)] for end in ends]
+    windows = chosen.groupBy("asker").agg(
+        F.array(*[F.coalesce(x, empty) for x in of[0]]).alias("low"), F.array(*[F.coalesce(x, -empty) for x in of[1]]).alias("high")
+    )
+    asked = ask(anchors.withColumnRenamed("row", "asker").join(windows, "asker"), same=F.lit(False))
+    found = best(search(asked, placed, pivots, negatives), negatives)
+    found = found.select("asker", "window", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     named = chosen.join(anchors.select(F.col("row").alias("asker"), F.col("id").alias("anchor_id")), "asker")
-    return named.join(found, ["asker", "to"]).select(
+    return named.join(found, ["asker", "window"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score"
     )
 
