@@ -29,6 +29,22 @@ def stream_dedup(
     return events.dropDuplicates(list(keys))
 
 
+def first_arrival_stream(
+    valid: DataFrame, watermark: str, arrival: str, keys: Sequence[str] = EVENT_KEY
+) -> DataFrame:
+    """Streaming frames: of each event the row with the least ``arrival``, whatever order rows are read in.
+
+    The state keeps the least row per event until the watermark has passed it; only then is the event
+    emitted (append mode), so later operators see it once and for good. The aggregate has a map side:
+    however many copies of one event a micro-batch holds, each task sends one. The other columns are
+    those of ``first_arrival``, the batch form, to which this is equal but for late rows.
+    """
+    columns = [c for c in valid.columns if c not in keys]
+    least = F.min_by(F.struct(*columns), arrival).alias("_first")
+    events = valid.withWatermark("event_timestamp", watermark).groupBy(*keys).agg(least)
+    return events.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in valid.columns])
+
+
 def first_arrival(valid: DataFrame, arrival: Sequence[str], keys: Sequence[str] = EVENT_KEY) -> DataFrame:
     """Batch form: the row that arrived first per key, by an explicit arrival order.
 

@@ -229,6 +229,7 @@ _BODIES: dict[str, tuple[str, str]] = {
     ),
     "changelog_text_scan": (_STATE, f"SELECT {_KPI_COLUMNS}, batch_id FROM state"),
     "table_append_sink": (_STATE, f"SELECT {_KPI_COLUMNS} FROM state"),
+    "table_append_replayed": (_CHANGELOG, f"SELECT {_KPI_COLUMNS}, batch_id FROM changelog"),
     "metrics_by_batch": (
         _CHANGELOG,
         """, received AS (SELECT batch_id, count(*) AS n, count(*) FILTER (NOT ok) AS bad FROM judged GROUP BY 1),
@@ -540,6 +541,27 @@ _BODIES: dict[str, tuple[str, str]] = {
         _kpis(_US_6H).replace('ORDER BY "offset")', 'ORDER BY "offset" % 3)'),
         f"SELECT {_KPI_COLUMNS} FROM kpis",
     ),
+    "stream_stored_state": (
+        _kpis(_US_6H).replace('ORDER BY "offset")', 'ORDER BY "offset" % 3 = 2)'),
+        f"SELECT {_KPI_COLUMNS} FROM kpis",
+    ),
+    # A run's late events are those up to three days before the newest of earlier runs.
+    "stream_late_rows": (
+        _FEED,
+        """, arrived AS (
+          SELECT vehicle_id, event_timestamp, (CAST(floor(epoch(kafka_timestamp) / 604800) AS BIGINT) + event_id % 3) % 4 AS part
+          FROM judged WHERE ok),
+        newest AS (
+          SELECT part, max(max(event_timestamp)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+          FROM arrived GROUP BY part),
+        told AS (
+          SELECT *, coalesce(event_timestamp <= before - INTERVAL 3 DAY, false) AS is_late FROM arrived JOIN newest USING (part)),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY vehicle_id, event_timestamp, is_late ORDER BY part) AS nth FROM told)
+        SELECT CAST(dense_rank() OVER (ORDER BY part) AS INTEGER) AS run, count(*) AS valid,
+          count(*) FILTER (NOT is_late AND nth = 1) AS accepted, count(*) FILTER (NOT is_late AND nth > 1) AS duplicates,
+          count(*) FILTER (is_late) AS late FROM ranked GROUP BY part""",
+    ),
     "stream_dead_letter": (
         _FEED,
         """SELECT json_payload, CASE WHEN malformed THEN 'malformed_json' ELSE 'invalid_telemetry_values' END
@@ -578,6 +600,7 @@ def checks() -> dict[str, str]:
         "compacted_state": "latest_window_state",
         "compacted_late_run": "latest_window_state",
         "version_diff": "snapshot_diff",
+        "stream_first_arrival": "stream_dedup",
         "newest_top_faults": "top10_faults",
         **{f"rollup_{name}": name for name in _FROM_ROLLUPS},
         **{f"newest_{name}": name for name in _NEWEST},

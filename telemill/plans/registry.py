@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from telemill.config import MEASURES, REQUIRED_FIELDS
@@ -21,7 +22,7 @@ from telemill.plans import batch as plan
 from telemill.schema import CHANGELOG, DEAD_LETTER, EVENT, WINDOW_COLUMNS
 from telemill.sources import console_log, curated, feed, kafka, versions
 from telemill.sources.scratch import scratch_dir
-from telemill.streaming import job, metrics
+from telemill.streaming import job, metrics, stored_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,6 +272,18 @@ def table_append_sink(spark, d):
     return spark.table(name)
 
 
+@query
+def table_append_replayed(spark, d):
+    """Every micro-batch of the changelog appended, the second one twice."""
+    base = scratch_dir(spark, "append-batch")
+    database = "telemill_" + base.rsplit("-", 1)[-1].lower()
+    curated.create_database(spark, base, database)
+    name, changes = f"`{database}`.`aggregates`", _changelog(spark, d)
+    for batch in (0, 1, 1, 2):
+        curated.append_batch(cl.batch_filter(changes, batch), name, batch)
+    return spark.table(name)
+
+
 @query
 def metrics_by_batch(spark, d):
     return metrics.metrics_by_batch(_flagged(spark, d), _changelog(spark, d))
@@ -684,3 +697,66 @@ def stream_final_windows(spark, d):
     settings = _settings(spark, "stream-final")
     job.start_final_windows(_stream(spark, d), settings, {"availableNow": True}).awaitTermination()
     return spark.read.parquet(f"{settings.output}/final_windows").withColumn("date", F.col("date").cast("string"))
+
+
+def _runs_over(spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery], folder: str) -> None:
+    """One run to the end for each part, all over one growing folder and one checkpoint."""
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        start(spark.readStream.schema(part.schema).parquet(folder)).awaitTermination()
+
+
+@query
+def stream_first_arrival(spark, d):
+    """Copies of an event arrive in any order; the one with the least offset is the event.
+
+    The last run brings one event far ahead, which moves the watermark past all others.
+    """
+    settings, records = replace(_settings(spark, "stream-first"), watermark_delay="40 days"), _records(spark, d)
+    later = F.max(F.expr("kafka_timestamp + INTERVAL 100 DAYS"))
+    ahead = feed.telemetry_view(feed.events_table(spark, d)).agg(later.alias("kafka_timestamp"))
+    stamp = F.date_format("kafka_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    body = F.format_string('{"vehicle_id": "BMW-LAST", "timestamp": "%s", "speed": 1, "battery_level": 1, "temperature": 1, "fault_code": "NONE"}', stamp)
+    closing = ahead.select(
+        F.lit("BMW-LAST").cast("binary").alias("key"), body.cast("binary").alias("value"), F.col("kafka_timestamp").alias("timestamp"),
+        *[F.lit(-1).cast("bigint").alias(c) for c in ("offset", "event_id")], F.lit(-1).cast(records.schema["batch_id"].dataType).alias("batch_id"),
+    )
+    parts = [records.filter(F.col("offset") % 3 == 2 - i) for i in range(3)] + [closing]
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        valid = va.valid_events(va.flag_events(stream, settings.rules, carry=IDS), IDS)
+        first = dedup.first_arrival_stream(valid, settings.watermark_delay, "offset")
+        writer = first.writeStream.format("parquet").option("path", f"{settings.output}/events")
+        return writer.option("checkpointLocation", settings.checkpoint).trigger(availableNow=True).start()
+
+    _runs_over(spark, parts, start, scratch_dir(spark, "stream-first-files"))
+    return spark.read.parquet(f"{settings.output}/events").select(*ORIGIN, "vehicle_id", "event_timestamp", "speed", "fault_code")
+
+
+@query
+def stream_late_rows(spark, d):
+    """What became of every valid event of four runs under a watermark of three days."""
+    settings, records = replace(_settings(spark, "stream-late"), watermark_delay="3 days"), _records(spark, d)
+    # most records come in the order of their weeks, some a run or two late
+    week = F.floor(F.unix_seconds("timestamp") / 604_800)
+    part = F.pmod(week + F.col("event_id") % 3, F.lit(4))
+    folder = scratch_dir(spark, "stream-late-files")
+    accounts = metrics.RowAccounts(spark, settings.output, "aggregates")
+    spark.streams.addListener(accounts)
+    try:
+        start = lambda stream: job.start_aggregates(stream, settings, {"availableNow": True})
+        _runs_over(spark, [records.filter(part == i) for i in range(4)], start, folder)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(accounts)
+    found = metrics.read_accounts(spark, settings.output)
+    return found.select(F.dense_rank().over(Window.orderBy("batch_id")).alias("run"), "valid", "accepted", "duplicates", "late")
+
+
+@query
+def stream_stored_state(spark, d):
+    """The windows that a query keeps in its checkpoint after two runs."""
+    settings, records = replace(_settings(spark, "stream-state"), watermark_delay="40 days"), _records(spark, d)
+    start = lambda stream: job.start_aggregates(stream, settings, {"availableNow": True})
+    _runs_over(spark, [records.filter(F.col("offset") % 3 < 2), records.filter(F.col("offset") % 3 == 2)], start, scratch_dir(spark, "stream-state-files"))
+    return stored_state.stored_windows(spark, f"{settings.checkpoint}/aggregates")

@@ -137,8 +137,27 @@ def show_partitions(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}")
 
 
-def append_table(windows: DataFrame, name: str) -> None:
-    """Append aggregates to a managed table, created when absent; the key columns must be set."""
+def _required(windows: DataFrame) -> DataFrame:
     key = ("vehicle_id", "window_start", "window_end")
     required = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} must not be null"))) for c in key}
-    windows.select(*WINDOW_COLUMNS).withColumns(required).write.mode("append").saveAsTable(name)
+    return windows.select(*WINDOW_COLUMNS).withColumns(required)
+
+
+def append_table(windows: DataFrame, name: str) -> None:
+    """Append aggregates to a managed table, created when absent; the key columns must be set.
+
+    Called again for the same rows it adds them again; ``append_batch`` does not.
+    """
+    _required(windows).write.mode("append").saveAsTable(name)
+
+
+def append_batch(windows: DataFrame, name: str, batch_id: int) -> None:
+    """One micro-batch's aggregates in a managed table, created when absent; the key columns must be set.
+
+    The table is partitioned by ``batch_id`` and a batch replaces its own partition as a whole, so one
+    that is replayed leaves one copy. An empty batch leaves an empty partition.
+    """
+    spark = windows.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CURATED if f.name not in ("date", "batch_id"))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, batch_id BIGINT) USING parquet PARTITIONED BY (batch_id)")
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {{rows}}", rows=_required(windows))

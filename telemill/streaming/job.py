@@ -17,11 +17,11 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telemill.config import DEFAULT_RULES, DEFAULT_WATERMARK, DEFAULT_WINDOW, RuleSet
-from telemill.operators.dedup import stream_dedup
+from telemill.operators.dedup import first_arrival_stream, stream_dedup
 from telemill.operators.validate import dead_letter, flag_events, valid_events
 from telemill.operators.windows import window_kpis
 from telemill.sources import curated
@@ -133,7 +133,8 @@ def parse_and_validate_events(
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, watermarked and deduplicated events, dead letters)`` of a broker stream."""
     flagged = flag_events(records, rules)
-    return stream_dedup(valid_events(flagged), watermark_delay, salts=dedup_salts), dead_letter(flagged)
+    valid = valid_events(flagged).observe(metrics.VALID, F.count(F.lit(1)).alias("n"))
+    return stream_dedup(valid, watermark_delay, salts=dedup_salts), dead_letter(flagged)
 
 
 def build_frames(
@@ -167,12 +168,21 @@ def _cached(work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int]
 def route_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataFrame, int], None]:
     """Raw copy, dead letters and input counters of one micro-batch of flagged records."""
 
+    ledger: list[metrics.Ledger] = []
+
     def work(batch: DataFrame, batch_id: int) -> None:
         batch_id += first_id
-        date = curated.arrival_date()
-        curated.write_raw(batch.select("json_payload", "kafka_timestamp"), settings.output, batch_id, date)
+        date, counts = curated.arrival_date(), Observation()
+        # the counters come with the pass that writes the raw copy
+        counted = batch.observe(
+            counts,
+            F.count(F.lit(1)).alias("received"),
+            F.count_if(~F.col("is_valid")).alias("rejected"),
+            F.max(date).alias("date"),
+        )
+        curated.write_raw(counted.select("json_payload", "kafka_timestamp"), settings.output, batch_id, date)
         curated.write_dead_letter(dead_letter(batch), settings.output, batch_id, date)
-        received, rejected = batch.agg(F.count(F.lit(1)), F.count_if(~F.col("is_valid"))).first()
+        received, rejected = counts.get.get("received", 0), counts.get.get("rejected", 0)
         if rejected:
             logger.warning("batch %d: %d invalid records", batch_id, rejected)
         if settings.emit_metrics:
@@ -181,6 +191,8 @@ def route_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataFrame
                 settings.output,
                 "route",
                 batch_id,
+                counts.get.get("date"),
+                _ledger(ledger, batch.sparkSession, settings),
                 records_processed=received,
                 invalid_records=rejected,
             )
@@ -188,15 +200,26 @@ def route_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataFrame
     return _cached(work)
 
 
+def _ledger(held: list[metrics.Ledger], spark: SparkSession, settings: JobSettings) -> metrics.Ledger:
+    """The query's ledger of counters, made in its first micro-batch."""
+    if not held:
+        held.append(metrics.Ledger(spark, f"{settings.output}/{metrics.METRICS_DIR}"))
+    return held[0]
+
+
 def aggregate_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataFrame, int], None]:
     """Curated rows, counters and console print of one micro-batch of window aggregates.
 
-    At most ``output_files`` tasks write, however many partitions the state has.
+    At most ``output_files`` tasks write, however many partitions the state has. The counters come with
+    the pass that writes; the batch is kept only if it is also printed.
     """
+    ledger: list[metrics.Ledger] = []
 
     def work(batch: DataFrame, batch_id: int) -> None:
         batch_id += first_id
-        curated.write_curated(batch.coalesce(settings.output_files), settings.output, batch_id, curated.event_date())
+        counts = Observation()
+        counted = batch.observe(counts, F.count(F.lit(1)).alias("rows"), F.max(curated.event_date()).alias("date"))
+        curated.write_curated(counted.coalesce(settings.output_files), settings.output, batch_id, curated.event_date())
         if settings.console:
             print(f"{'-' * 43}\nBatch: {batch_id}\n{'-' * 43}")
             batch.show(truncate=False)
@@ -206,11 +229,13 @@ def aggregate_batch(settings: JobSettings, first_id: int = 0) -> Callable[[DataF
                 settings.output,
                 "aggregates",
                 batch_id,
+                counts.get.get("date"),
+                _ledger(ledger, batch.sparkSession, settings),
                 batches_processed=1,
-                aggregated_records=batch.count(),
+                aggregated_records=counts.get.get("rows", 0),
             )
 
-    return _cached(work)
+    return _cached(work) if settings.console else work
 
 
 # --- queries -------------------------------------------------------------------------------
@@ -239,12 +264,27 @@ def start_aggregates(records: DataFrame, settings: JobSettings, trigger: dict |
     return _writer(windows, "update", settings.checkpoint, "aggregates", trigger).foreachBatch(work).start()
 
 
-def start_final_windows(records: DataFrame, settings: JobSettings, trigger: dict | None = None) -> StreamingQuery:
+def first_arrivals(records: DataFrame, settings: JobSettings, arrival: str) -> DataFrame:
+    """Valid events of a stream, of each the row with the least ``arrival``, once the watermark has passed it."""
+    valid = valid_events(flag_events(records, settings.rules, carry=[arrival]), [arrival])
+    valid = valid.observe(metrics.VALID, F.count(F.lit(1)).alias("n"))
+    return first_arrival_stream(valid, settings.watermark_delay, arrival)
+
+
+def start_final_windows(
+    records: DataFrame, settings: JobSettings, trigger: dict | None = None, arrival: str | None = None
+) -> StreamingQuery:
     """Append mode: every window once, when the watermark has passed it (exactly-once file sink).
 
-    A bounded run ends with the windows above the watermark still open; they are not written.
+    ``arrival`` names a column of the records that orders arrivals (the broker's offset): of the copies
+    of an event that with the least one counts, in whatever order they are read. Without it, that which
+    is read first counts. A bounded run ends with the windows above the watermark still open; they are
+    not written.
     """
-    windows = _windows(records, settings)
+    if arrival is None:
+        windows = _windows(records, settings)
+    else:
+        windows = window_kpis(first_arrivals(records, settings, arrival), settings.window_duration)
     dated = windows.withColumn("date", curated.event_date())
     return (
         _writer(dated, "append", settings.checkpoint, "final_windows", trigger)
@@ -288,6 +328,9 @@ def run(
     if settings.emit_metrics:
         metrics.emit_status(spark, settings.output, running=True)
     queries: list[StreamingQuery] = []
+    accounts = metrics.RowAccounts(spark, settings.output, "aggregates", first_batch_id(spark, settings))
+    if settings.emit_metrics:
+        spark.streams.addListener(accounts)
     try:
         # before the first start: a query that fails while the next one starts must not be forgotten
         spark.streams.resetTerminated()
@@ -312,6 +355,8 @@ def run(
         for query in queries:
             query.stop()
         if settings.emit_metrics:
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+            spark.streams.removeListener(accounts)
             metrics.emit_status(spark, settings.output, running=False)
 
 
