@@ -28,8 +28,11 @@ PART_BYTES = 6 << 20
 LOCALLY_FREQUENT = 32
 #: From so many documents on, shingles are indexed in pairs.
 FREQUENT = 32
-#: Sets of at least SPLIT_FROM shingles pair only within one of PAIR_GROUPS classes.
+#: Sets of at least SPLIT_FROM shingles pair only within one of PAIR_GROUPS classes; of SPLIT_FROM times
+#: 16, 64, 256 and so on there are 4, 16, 64 times as many classes, so the pairs grow with the prefix.
 PAIR_GROUPS, SPLIT_FROM = 16, 64
+#: A chunk has so many shingles for each part, up to the second number, so that blocks do not get tiny.
+SHINGLES_A_PART, MOST_CHUNK_SHINGLES = 100, 8_000_000
 MARK = np.uint32(0xFFFFFFFF)
 MOST_COUNTED = 65_535
 #: Bits of the map of a set, by which pairs are ruled out before whole sets are fetched.
@@ -99,19 +102,23 @@ def chunk_blocks(chunk: int, ids: list, docs: np.ndarray, hashes: np.ndarray, pa
     docs[starts[hot]] = MARK
     members, counts = docs[keep], sizes[hot].astype(np.uint32)
     sent = hashes[keep]
-    edges = np.array([(p << 56) // parts for p in range(parts + 1)], np.uint64)
-    cuts = np.searchsorted(sent, edges)
     marks = np.concatenate([[0], np.cumsum(members == MARK)])
-    for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        if b > a:
-            deltas = np.diff(sent[a:b], prepend=np.uint64(0))
-            yield {
-                "part": p,
-                "chunk": chunk,
-                "hashes": packed(deltas),
-                "members": packed(members[a:b]),
-                "counts": packed(counts[marks[a] : marks[b]]),
-            }
+    for p, a, b in runs_of_parts(sent >> np.uint64(24), parts):
+        deltas = np.diff(sent[a:b], prepend=np.uint64(0))
+        yield {
+            "part": p,
+            "chunk": chunk,
+            "hashes": packed(deltas),
+            "members": packed(members[a:b]),
+            "counts": packed(counts[marks[a] : marks[b]]),
+        }
+
+
+def runs_of_parts(upper: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
+    """Part, first and last place of each run of sorted hashes, given by their upper 32 bits, in one of ``parts``."""
+    part = (upper * np.uint64(parts)) >> np.uint64(32)
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    return zip(part[starts].tolist(), starts.tolist(), np.append(starts[1:], len(part)).tolist())
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -198,6 +205,11 @@ def sets_of_chunk(chunk: pa.Table, percent: int) -> pa.Table:
     return pa.Table.from_arrays(columns, ["row", "doc_id", "text_hash", "n_shingles", "shared", "print1", "print2", "hashes", "counts", "bits"])
 
 
+def chunk_shingles(parts: int) -> int:
+    """Shingles of a chunk: more where there are many parts, within what a task can hold."""
+    return min(max(CHUNK_SHINGLES, SHINGLES_A_PART * parts), max(CHUNK_SHINGLES, MOST_CHUNK_SHINGLES))
+
+
 def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``SETS``, one row per row of ``docs``."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -225,7 +237,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
             hashes.append(h)
             base += len(batch)
             held += len(h)
-            if held >= CHUNK_SHINGLES:
+            if held >= chunk_shingles(parts):
                 yield from flush()
                 ids, rows, docs_, hashes, base, held = [], [], [], [], 0, 0
         yield from flush()
@@ -236,6 +248,21 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return kept(sets, "shingle_sets")
 
 
+def pair_groups(n: int, percent: int) -> list[int]:
+    """Numbers of classes within which a set of ``n`` shingles forms pairs.
+
+    Close to where the number changes a set takes both, so that two linked sets have one in common: of
+    two such sets the larger has at most 100 / percent times the shingles.
+    """
+    found, groups, start = [], 1, 0
+    while start == 0 or n >= -(-start * percent // 100):
+        after = SPLIT_FROM if start == 0 else start * 16 if groups == PAIR_GROUPS else start * 4
+        if n <= (after - 1) * 100 // percent:
+            found.append(groups)
+        groups, start = PAIR_GROUPS if start == 0 else groups * 4, after
+    return found
+
+
 def signatures_of(hashes: np.ndarray, counts: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a set of ``n`` shingles, of which ``hashes`` are shared, rarest first.
 
@@ -245,11 +272,8 @@ def signatures_of(hashes: np.ndarray, counts: np.ndarray, n: int, percent: int)
     needed = int(allowed(np.int64(n), percent)) + 1 - alone
     needed_short = n - -(-2 * percent * n // (100 + percent)) + 1 - alone
     frequent = counts >= FREQUENT
-    low, high = -(-SPLIT_FROM * percent // 100), (SPLIT_FROM - 1) * 100 // percent
     found, short = [], []
-    for groups, used in ((1, n <= high), (PAIR_GROUPS, n >= low)):
-        if not used:
-            continue
+    for groups in pair_groups(n, percent):
         group = np.where(frequent, hashes % np.uint64(groups), np.uint64(groups)).astype(np.int64)
         # the first of each pair group adds nothing to what a linked document has to share
         gain = np.ones(len(hashes), np.int64)

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemill.llm.ngram_join import BLOCK, MARK, PART_BYTES, _batch, chunk_blocks, packed, shared_in_part, unpacked
-from telemill.llm.words import hash_words, in_small_batches, mixed, ragged, slices, split_words
+from telemill.llm.ngram_join import BLOCK, MARK, PART_BYTES, _batch, chunk_blocks, packed, runs_of_parts, shared_in_part, unpacked
+from telemill.llm.words import BATCH_BYTES, hash_words, in_small_batches, mixed, ragged, slices, split_words
 
 WINDOW, GRAM = 50, 25
 SPAN = WINDOW - GRAM + 1
@@ -97,11 +97,16 @@ def _parts(docs: DataFrame) -> int:
     return max(64, -(-total // (4 * PART_BYTES)))
 
 
+def _slice_bytes(parts: int) -> int:
+    """Bytes of text handled at once: more where there are many parts to deal out to, up to four times."""
+    return BATCH_BYTES * min(4, max(1, parts // 4096))
+
+
 def shared_anchors(docs: DataFrame, parts: int) -> DataFrame:
     """``doc_id, text_hash, anchors``: those of a document that another one has too."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=_slice_bytes(parts)):
             found = windows(batch["text"])
             new = np.ones(len(found.anchors), bool)
             new[1:] = (found.anchors[1:] != found.anchors[:-1]) | (found.texts[1:] != found.texts[:-1])
@@ -155,7 +160,7 @@ def removed_starts(packed_docs: DataFrame, anchors: DataFrame, parts: int) -> Da
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
-        for batch in slices(_unpack(batches)):
+        for batch in slices(_unpack(batches), limit=_slice_bytes(parts)):
             found = windows(batch["text"])
             lists = batch["anchors"]
             ends = lists.offsets.to_numpy().astype(np.int64)
@@ -173,13 +178,10 @@ def removed_starts(packed_docs: DataFrame, anchors: DataFrame, parts: int) -> Da
             blocks = [{"part": parts + chunk % parts, "chunk": chunk, "keys": keys.tolist(), "own_members": packed(members[done]), "own_starts": packed(starts[done])}]
             order = order[~done[order]]
             firsts, seconds, doc_ids, members, starts = (x[order] for x in (firsts, seconds, doc_ids, members, starts))
-            edges = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
-            cuts = [0, *np.searchsorted(firsts, edges), len(firsts)]
-            for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if b > a:
-                    columns = {"seconds": seconds, "doc_ids": doc_ids, "members": members, "starts": starts}
-                    block = {c: packed(x[a:b]) for c, x in columns.items()}
-                    blocks.append({"part": p, "chunk": chunk, "firsts": packed(np.diff(firsts[a:b], prepend=np.uint64(0))), **block})
+            for p, a, b in runs_of_parts(firsts >> np.uint64(32), parts):
+                columns = {"seconds": seconds, "doc_ids": doc_ids, "members": members, "starts": starts}
+                block = {c: packed(x[a:b]) for c, x in columns.items()}
+                blocks.append({"part": p, "chunk": chunk, "firsts": packed(np.diff(firsts[a:b], prepend=np.uint64(0))), **block})
             yield _suffix_batch(blocks)
 
     def subtrees(part: pa.Table) -> pa.Table:

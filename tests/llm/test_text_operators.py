@@ -386,3 +386,43 @@ def test_pipeline_stages_keep_the_contract(spark, table, empty):
 
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_dealing_does_not_depend_on_the_number_of_parts():
+    """A chunk's work follows its shingles, and chunks grow so that blocks do not get tiny."""
+    rng = np.random.default_rng(5)
+    docs = np.repeat(np.arange(500), 1000)
+    hashes = rng.integers(0, 1 << 56, len(docs), dtype=np.uint64)
+    ids = list(range(1000))
+
+    def blocks(parts):
+        return [b for b in ngram_join.chunk_blocks(7, ids, docs, hashes, parts) if "hashes" in b]
+
+    sent = {}
+    for parts in (64, 4768, 158_945, 16_000_000):
+        found = blocks(parts)
+        assert len(found) <= len(docs) and [b["part"] for b in found] == sorted({b["part"] for b in found})
+        values = [np.cumsum(ngram_join.unpacked(b["hashes"], np.uint64), dtype=np.uint64) for b in found]
+        assert all(0 <= b["part"] < parts for b in found)
+        sent[parts] = np.concatenate(values)
+        if parts < 5000:
+            for b, v in zip(found[:50], values):  # a part has one range of hashes
+                assert {int(x) * parts >> 56 for x in (v >> np.uint64(24) << np.uint64(24)).tolist()} == {b["part"]}
+    assert all((x == sent[64]).all() for x in sent.values())
+    assert ngram_join.chunk_shingles(64) == ngram_join.CHUNK_SHINGLES
+    assert ngram_join.chunk_shingles(79_000) / 79_000 >= 100 and ngram_join.chunk_shingles(10**7) == ngram_join.MOST_CHUNK_SHINGLES
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_pairs_grow_with_the_prefix(percent):
+    hashes = np.random.default_rng(1).integers(0, 1 << 56, 60_000, dtype=np.uint64)
+    for n in (64, 1000, 5000, 60_000):
+        values, _ = ngram_join.signatures_of(hashes[:n], np.full(n, 900), n, percent)
+        assert len(values) <= 10 * n
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90, 100])
+def test_linked_sets_pair_within_the_same_classes(percent):
+    for n in [*range(1, 300), 900, 1023, 1024, 1100, 4095, 4096, 5000, 16_383, 16_384, 20_000, 70_000]:
+        for larger in {n, n * 100 // percent, (n + n * 100 // percent) // 2}:
+            assert set(ngram_join.pair_groups(n, percent)) & set(ngram_join.pair_groups(larger, percent))
