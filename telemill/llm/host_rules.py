@@ -11,6 +11,8 @@ WINDOW = 5
 HOST_LIMIT = 0.5
 #: Bounds on the prior's weight in documents, for hosts that are all alike or all different.
 PRIOR_WEIGHT = (1.0, 1000.0)
+#: Less than this share of a document to compare within hosts counts as none.
+ROOM = 1e-6
 RULES = ("base_failed", "symbols_failed", "lines_failed")
 
 
@@ -62,21 +64,31 @@ def base_failed() -> Column:
 def host_verdicts(judged: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
     """``host, host_docs, host_failures, host_failed``: one row per host, null being a host too.
 
-    For each rule the hosts' failure rates give a beta prior by its first two moments; a host is
-    rejected if the posterior mean of any rule exceeds ``limit``. Small hosts thus lean on what is
-    usual, and one bad document rejects none.
+    For each rule a beta prior is fitted to the hosts' failures: its mean is the failing share of all
+    documents, its weight follows from how much more the hosts differ than chance alone would make
+    hosts of their sizes differ (the moments of the beta-binomial, each host weighing as many documents
+    as it has). A host is rejected if the posterior mean of any rule exceeds ``limit``. Small hosts thus
+    lean on what is usual; where hosts have one document each, nothing tells them apart and the prior
+    has its largest weight. An empty table gives no host.
     """
     failures = [F.count_if(r).alias(r) for r in RULES]
     hosts = judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("host_docs"), *failures)
-    rates = [F.struct(F.avg(F.col(r) / F.col("host_docs")).alias("m"), F.var_pop(F.col(r) / F.col("host_docs")).alias("v")).alias(f"of_{r}") for r in RULES]
-    priors = hosts.agg(*rates)
-    scored = hosts.join(F.broadcast(priors), how="cross")  # one row
+    docs, squares = F.col("host_docs").cast("double"), F.col("host_docs").cast("double") ** 2
+    sums = [F.sum(docs).alias("of_docs"), F.sum(squares).alias("of_squares"), F.count("*").alias("of_hosts")]
+    for r in RULES:
+        sums += [F.sum(F.col(r)).cast("double").alias(f"of_{r}"), F.sum(F.col(r).cast("double") ** 2 / docs).alias(f"spread_{r}")]
+    scored = hosts.join(F.broadcast(hosts.agg(*sums)), how="cross")  # one row
 
     def shrunk(rule: str) -> Column:
-        m, v = F.col(f"of_{rule}.m"), F.col(f"of_{rule}.v")
-        weight = F.when(v > 0, m * (1 - m) / v - 1).otherwise(PRIOR_WEIGHT[1])
-        weight = F.greatest(F.lit(PRIOR_WEIGHT[0]), F.least(F.lit(PRIOR_WEIGHT[1]), weight))
-        return (F.col(rule) + m * weight) / (F.col("host_docs") + weight)
+        mean = F.col(f"of_{rule}") / F.col("of_docs")
+        free = F.col("of_hosts") - 1
+        spread = F.col(f"spread_{rule}") - F.col(f"of_{rule}") ** 2 / F.col("of_docs")
+        room = F.col("of_docs") - F.col("of_squares") / F.col("of_docs") - free
+        # correlation of two documents of one host: 0 if the hosts are alike, 1 if each is all good or all bad
+        alike = F.try_divide(F.try_divide(spread, mean * (1 - mean)) - free, F.when(room > ROOM, room))
+        weight = F.when(alike > 0, F.greatest(F.lit(PRIOR_WEIGHT[0]), F.least(F.lit(PRIOR_WEIGHT[1]), 1 / alike - 1)))
+        weight = F.coalesce(weight, F.lit(PRIOR_WEIGHT[1]))
+        return (F.col(rule) + mean * weight) / (F.col("host_docs") + weight)
 
     failed = F.greatest(*[shrunk(r) for r in RULES]) > limit
     return scored.select("host", "host_docs", F.col("base_failed").alias("host_failures"), failed.alias("host_failed"))
@@ -138,13 +150,20 @@ h AS (
   SELECT source, count(*) AS host_docs, count(*) FILTER (base_failed) AS host_failures,
          count(*) FILTER (symbols_failed) AS f2, count(*) FILTER (lines_failed) AS f3 FROM j GROUP BY source),
 p AS (
-  SELECT avg(host_failures / host_docs) AS m1, var_pop(host_failures / host_docs) AS v1,
-         avg(f2 / host_docs) AS m2, var_pop(f2 / host_docs) AS v2,
-         avg(f3 / host_docs) AS m3, var_pop(f3 / host_docs) AS v3 FROM h),
+  SELECT sum(host_docs)::DOUBLE AS n, sum(host_docs::DOUBLE * host_docs) AS n2, count(*) - 1 AS free,
+         sum(host_failures)::DOUBLE AS s1, sum(host_failures::DOUBLE * host_failures / host_docs) AS g1,
+         sum(f2)::DOUBLE AS s2, sum(f2::DOUBLE * f2 / host_docs) AS g2,
+         sum(f3)::DOUBLE AS s3, sum(f3::DOUBLE * f3 / host_docs) AS g3 FROM h),
+o AS (
+  SELECT s1 / n AS m1, s2 / n AS m2, s3 / n AS m3, CASE WHEN n - n2 / n - free > 1e-6 THEN n - n2 / n - free END AS room,
+         (g1 - s1 * s1 / n) / nullif(s1 / n * (1 - s1 / n), 0) - free AS r1,
+         (g2 - s2 * s2 / n) / nullif(s2 / n * (1 - s2 / n), 0) - free AS r2,
+         (g3 - s3 * s3 / n) / nullif(s3 / n * (1 - s3 / n), 0) - free AS r3 FROM p),
 q AS (
-  SELECT *, CASE WHEN v1 > 0 THEN greatest(1, least(1000, m1 * (1 - m1) / v1 - 1)) ELSE 1000 END AS w1,
-         CASE WHEN v2 > 0 THEN greatest(1, least(1000, m2 * (1 - m2) / v2 - 1)) ELSE 1000 END AS w2,
-         CASE WHEN v3 > 0 THEN greatest(1, least(1000, m3 * (1 - m3) / v3 - 1)) ELSE 1000 END AS w3 FROM p),
+  SELECT m1, m2, m3,
+         coalesce(CASE WHEN r1 / room > 0 THEN greatest(1, least(1000, room / r1 - 1)) END, 1000) AS w1,
+         coalesce(CASE WHEN r2 / room > 0 THEN greatest(1, least(1000, room / r2 - 1)) END, 1000) AS w2,
+         coalesce(CASE WHEN r3 / room > 0 THEN greatest(1, least(1000, room / r3 - 1)) END, 1000) AS w3 FROM o),
 v AS (
   SELECT source, host_docs, host_failures,
          greatest((host_failures + m1 * w1) / (host_docs + w1), (f2 + m2 * w2) / (host_docs + w2),

@@ -216,7 +216,8 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, recall: float = RE
             yield pa.RecordBatch.from_arrays([batch["row"], batch["vec_id"], pa.array(raw, pa.binary())], ["row", "vec_id", "vector"])
 
     rows = kept(rows.mapInArrow(to_bytes, "row long, vec_id long, vector binary"), "vectors")
-    key = [F.xxhash64("vector").alias("h1"), F.xxhash64("vector", F.lit(SEED)).alias("h2")]
+    # the salt comes first: after the vector it would only be mixed into the first print
+    key = [F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(SEED), "vector").alias("h2")]
     alike = rows.filter("vector is not null").groupBy(*key).agg(F.min("row").alias("first"), F.count("*").alias("copies"))
     alike = kept(alike, "alike")
     named = rows.filter("vector is not null").select("row", *key).join(alike, ["h1", "h2"]).select("row", "first", "copies")

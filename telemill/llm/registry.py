@@ -63,7 +63,7 @@ def op6_hidden_markov(spark, d):
 
 @query
 def op7_warc(spark, d):
-    return warc.round_trip(spark, table(spark, d, "pages")).drop("target_uri", "payload")
+    return warc.round_trip(spark, table(spark, d, "pages")).drop("target_uri", "payload", "record_id", "refers_to_id")
 
 
 @query

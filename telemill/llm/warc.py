@@ -28,7 +28,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORDS = (
     "page_id long, target_uri string, record_type string, refers_to long, payload_digest string,"
-    " payload_bytes long, payload binary"
+    " payload_bytes long, payload binary, record_id string, refers_to_id string"
 )
 ARCHIVES = "path string, records long, bytes long"
 
@@ -53,44 +53,88 @@ def record_bytes(page_id: int | None, uri: str | None, refers_to: int | None, pa
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def header_fields(lines: list[str]) -> dict[str, str]:
+    """Fields of a header by lower-case name; folded lines belong to the one before, the first of a name counts."""
+    fields: dict[str, str] = {}
+    key = None
+    for line in lines:
+        if line[:1] in (" ", "\t") and key is not None:
+            fields[key] += " " + line.strip()
+            continue
+        key, colon, value = line.partition(":")
+        key = key.strip().lower()
+        if not colon or not key:
+            raise ValueError(f"broken header line {line!r}")
+        if key in fields:
+            key = f"{key} again"
+        fields.setdefault(key, value.strip())
+    return fields
+
+
+def size_of(fields: dict[str, str], name: str) -> int | None:
+    """``content-length``, if present; raises ``ValueError`` unless it is a number."""
+    text = fields.get("content-length")
+    if text is not None and not (text.isascii() and text.isdigit()):
+        raise ValueError(f"{name}: content-length is {text!r}")
+    return None if text is None else int(text)
+
+
 def parse_record(data: bytes) -> dict:
-    """Columns of ``RECORDS``; raises ``ValueError`` for broken headers, lengths or digests."""
+    """Columns of ``RECORDS`` of a record of any kind; raises ``ValueError`` for broken headers, lengths or digests.
+
+    Of HTTP messages the payload is what follows the HTTP header, of other records (``warcinfo``,
+    ``metadata``, ``resource`` ...) the whole block; revisits have none. A payload digest in SHA-1 is
+    verified, one that is missing is worked out, another kind is taken as it stands. ``page_id`` and
+    ``refers_to`` are null unless the ids have the form that ``record_bytes`` writes.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8").split("\r\n")
-    if not gap or not lines[0].startswith("WARC/1."):
+    lines = head.decode("utf-8", "replace").split("\r\n")
+    if not gap or not lines[0].startswith("WARC/"):
         raise ValueError(f"no WARC header: {data[:60]!r}")
-    fields = {}
-    for line in lines[1:]:
-        key, colon, value = line.partition(":")
-        if not colon:
-            raise ValueError(f"broken header line {line!r}")
-        fields[key.strip().lower()] = value.strip()
+    fields = header_fields(lines[1:])
     for key in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if key not in fields:
             raise ValueError(f"record without {key}")
-    size = int(fields["content-length"])
+    name, kind, size = fields["warc-record-id"], fields["warc-type"], size_of(fields, fields["warc-record-id"])
     if len(rest) != size + 4 or rest[size:] != b"\r\n\r\n":
-        raise ValueError(f"{fields['warc-record-id']}: block is not {size} bytes long")
-    http, gap, payload = rest[:size].partition(b"\r\n\r\n")
-    if not gap:
-        raise ValueError(f"{fields['warc-record-id']}: no HTTP header")
-    length = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != length or digest_of(payload) != digest):
-        raise ValueError(f"{fields['warc-record-id']}: payload does not match its length or digest")
-    number = lambda x: None if x is None or x.endswith(":none>") else int(x.rpartition(":")[2].rstrip(">"))
+        raise ValueError(f"{name}: block is not {size} bytes long")
+    payload, length = rest[:size], size
+    if fields.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        http, gap, payload = payload.partition(b"\r\n\r\n")
+        if not gap and not http.endswith(b"\r\n"):
+            raise ValueError(f"{name}: no HTTP header")
+        message = header_fields([x for x in http.decode("latin-1").split("\r\n")[1:] if x])
+        told = size_of(message, name)
+        if kind != "revisit" and told is not None and told != len(payload) and "transfer-encoding" not in message:
+            raise ValueError(f"{name}: payload is not {told} bytes long")
+        length = told if kind == "revisit" else len(payload)
+    digest = fields.get("warc-payload-digest")
+    if digest is None and kind != "revisit":
+        digest = digest_of(payload)
+    elif digest is not None and digest[:5].lower() == "sha1:":
+        digest = digest[5:]
+        if kind != "revisit" and digest_of(payload) != digest.upper():
+            raise ValueError(f"{name}: payload does not match its digest")
     return {
-        "page_id": number(fields["warc-record-id"]),
+        "page_id": _page(name),
         "target_uri": fields.get("warc-target-uri"),
         "record_type": kind,
-        "refers_to": number(fields.get("warc-refers-to")),
+        "refers_to": _page(fields.get("warc-refers-to")),
         "payload_digest": digest,
         "payload_bytes": length,
-        "payload": payload if kind == "response" else None,
+        "payload": None if kind == "revisit" else payload,
+        "record_id": name,
+        "refers_to_id": fields.get("warc-refers-to"),
     }
 
 
+def _page(name: str | None) -> int | None:
+    """The page of a record id as ``record_bytes`` forms it."""
+    number = (name or "").removeprefix("<urn:page:").removesuffix(">")
+    sign = number[1:] if number[:1] == "-" else number
+    return int(number) if name == f"<urn:page:{number}>" and sign.isascii() and sign.isdigit() else None
+
+
 def _store(path: str) -> tuple[fs.FileSystem, str]:
     """The shared store that holds ``path``; Arrow and Spark name one of them differently."""
     path = path.replace("s3a://", "s3://", 1)
@@ -152,7 +196,10 @@ def read_archive(path: str) -> Iterator[bytes]:
             while not frame.eof:
                 if not data and not (data := file.read(READ_BYTES)):
                     raise ValueError(f"{path}: the last frame is cut short")
-                parts.append(frame.decompress(data))
+                try:
+                    parts.append(frame.decompress(data))
+                except zstandard.ZstdError as e:
+                    raise ValueError(f"{path}: a frame cannot be decoded") from e
                 data = frame.unused_data if frame.eof else b""
             yield b"".join(parts)
             data = data or file.read(READ_BYTES)
@@ -204,6 +251,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         schema = pa.schema(
             [("page_id", pa.int64()), ("target_uri", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
             + [("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
+            + [("record_id", pa.string()), ("refers_to_id", pa.string())]
         )
         for batch in batches:
             for path in batch["path"].to_pylist():

@@ -426,3 +426,38 @@ def test_linked_sets_pair_within_the_same_classes(percent):
     for n in [*range(1, 300), 900, 1023, 1024, 1100, 4095, 4096, 5000, 16_383, 16_384, 20_000, 70_000]:
         for larger in {n, n * 100 // percent, (n + n * 100 // percent) // 2}:
             assert set(ngram_join.pair_groups(n, percent)) & set(ngram_join.pair_groups(larger, percent))
+
+
+def test_one_bad_document_rejects_no_host(spark):
+    good, bad = "a b c d e f g h i j k l", "* # x"
+    alone = [(i, bad if i % 10 == 0 else good, "en", f"h{i}", 0) for i in range(1000)]
+    out = host_rules.host_rules(spark.createDataFrame(alone, SCHEMA)).collect()
+    assert not any(r.host_failed for r in out)
+    # hosts that differ far more than chance: few documents are enough to tell
+    apart = [(i * 10 + k, bad if i % 2 else good, "en", f"h{i}", 0) for i in range(40) for k in range(5)]
+    out = host_rules.host_rules(spark.createDataFrame(apart, SCHEMA)).collect()
+    assert {r.doc_id // 10 % 2 for r in out if r.host_failed} == {1} and sum(r.host_failed for r in out) == 100
+    same = [(i, bad, "en", f"h{i % 3}", 0) for i in range(30)]
+    assert all(r.host_failed for r in host_rules.host_rules(spark.createDataFrame(same, SCHEMA)).collect())
+
+
+@pytest.mark.parametrize("hosts", ["'one'", "cast(null as string)", "cast(doc_id as string)", "concat('h', doc_id % 7)"])
+def test_host_verdicts_equal_sql(spark, table, hosts, tmp_path):
+    import duckdb
+
+    docs = table.select("doc_id", "text").filter("doc_id is not null").dropDuplicates(["doc_id"]).selectExpr("*", f"{hosts} as source")
+    docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/docs/*.parquet'")
+    found = con.execute(host_rules.SQL)
+    names = [c[0] for c in found.description]
+    got = host_rules.host_rules(spark.read.parquet(str(tmp_path / "docs"))).select(*names).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(found.fetchall(), key=str)
+
+
+def test_substring_stage_keeps_columns_of_any_name(spark, table):
+    docs = table.withColumn("n_removed", table["n_chars"] + 1)
+    left = corpus_pipeline.substring_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    before = {(r.doc_id, r.n_words, r.n_removed) for r in docs.collect()}
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in left.collect()} == before

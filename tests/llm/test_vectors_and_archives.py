@@ -143,3 +143,62 @@ def test_reader_rejects_broken_archives(tmp_path):
         f.write(data[:-3])
     with pytest.raises(ValueError):
         list(warc.read_archive(path))
+
+
+def foreign(kind, block, *more, name="<urn:uuid:1f9e7c1c-0000-4000-8000-000000000000>"):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {name}", "WARC-Date: 2020-01-01T00:00:00Z", *more, f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = "Content-Type: application/http;msgtype=response"
+
+
+def test_archives_of_others_can_be_read(spark, tmp_path):
+    page = b"HTTP/1.1 200 OK\r\nX-Long: a\r\n b\r\n\r\nhello"
+    digest = warc.digest_of(b"hello")
+    records = [
+        foreign("warcinfo", b"software: other\r\nformat: WARC 1.0\r\n", "Content-Type: application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "Content-Type: application/http; msgtype=request"),
+        foreign("response", page, HTTP, "WARC-Target-URI: http://x/", f"WARC-Payload-Digest: sha1:{digest}"),
+        foreign("response", page, HTTP, "WARC-Payload-Digest: md5:abc"),
+        foreign("response", page, HTTP),
+        foreign("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Length: 3\r\n\r\n5\r\nhello\r\n0\r\n\r\n", HTTP),
+        foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", HTTP, "WARC-Refers-To: <urn:uuid:2>", f"WARC-Payload-Digest: sha1:{digest}"),
+        foreign("metadata", b"a: 1", "Content-Type: application/warc-fields", "WARC-Concurrent-To: <a>", "WARC-Concurrent-To: <b>"),
+        foreign("resource", b"", "Content-Type: text/plain"),
+        warc.record_bytes(-5, "u", None, b"own", warc.digest_of(b"own")),
+    ]
+    path = str(tmp_path / "foreign.warc.zst")
+    warc.write_archive(path, iter(records))
+    rows = warc.read_archives(spark.createDataFrame([(path, 1, 1)], warc.ARCHIVES)).collect()
+    assert [r.record_type for r in rows] == ["warcinfo", "request", *["response"] * 4, "revisit", "metadata", "resource", "response"]
+    assert [r.page_id for r in rows] == [None] * 9 + [-5] and rows[0].record_id.startswith("<urn:uuid:1f9e")
+    assert [bytes(r.payload) for r in rows[2:5]] == [b"hello"] * 3
+    assert [r.payload_digest for r in rows[2:5]] == [digest, "md5:abc", digest]
+    assert (rows[6].payload, rows[6].payload_bytes, rows[6].refers_to, rows[6].refers_to_id) == (None, None, None, "<urn:uuid:2>")
+    assert (rows[8].payload_bytes, rows[7].payload_bytes, rows[2].target_uri) == (0, 4, "http://x/")
+
+
+def test_every_broken_record_is_a_value_error(tmp_path):
+    page = b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhello"
+    good = foreign("response", page, HTTP)
+    assert warc.parse_record(good)["payload"] == b"hello"
+    for broken in (
+        good.replace(b"Content-Length: 43", b"Content-Length: x"),
+        good.replace(b"Content-Length: 5", b"Content-Length: 4"),
+        good.replace(b"Content-Length: 5", b"Content-Length: -"),
+        good.replace(b"WARC-Record-ID", b"X-Id"),
+        good.replace(b"WARC-Type: response", b"WARC-Type response"),
+        foreign("response", b"no header", HTTP),
+        foreign("response", page, HTTP, "WARC-Payload-Digest: sha1:AAAA"),
+        foreign("response", b"HTTP/1.1 200 OK\r\nbroken\r\n\r\nhello", HTTP),
+        b"\xff\xfe",
+    ):
+        with pytest.raises(ValueError):
+            warc.parse_record(broken)
+    path = str(tmp_path / "broken.warc.zst")
+    with open(path, "wb") as f:
+        f.write(b"no frame at all")
+    with pytest.raises(ValueError):
+        list(warc.read_archive(path))
+
