@@ -13,17 +13,28 @@ from telemill.llm.words import in_small_batches, kept, slices, split_words
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 64
+#: Sequence length at which attention costs as much as all else: a sequence of c words costs c * c / ATTENTION more.
+ATTENTION = 65_536
 SHARD_PIECES = 100_000
 
 
+def cost(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    """What a sequence costs whatever it holds: an overhead, its words, and attention among them.
+
+    A short sequence spends more on overhead for each word, a long one more on attention.
+    """
+    return overhead + capacity + capacity * capacity / attention
+
+
 def best_fit(
-    lengths: np.ndarray, capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD
+    lengths: np.ndarray, capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bin, offset in the bin, and bin capacity of each piece.
 
     Pieces go, longest first, into the open bin whose free room exceeds them least. Where none has
-    room, a bin opens whose size has the least cost, size plus ``overhead``, for each word that
-    can still fill it. In the end each bin shrinks to the smallest permitted size that holds it.
+    room, a bin opens whose size has the least ``cost`` for each word that can still fill it: usually
+    the size whose overhead and attention balance, a larger one for pieces that need it, a smaller one
+    when few words are left. In the end each bin shrinks to the smallest permitted size that holds it.
     """
     sizes = sorted(capacities)
     order = np.argsort(-lengths, kind="stable")
@@ -42,7 +53,7 @@ def best_fit(
             if not by_room[room]:
                 rooms &= ~(1 << room)
         else:
-            room = min((c for c in sizes if c >= n), key=lambda c: (c + overhead) / min(c, left))
+            room = min((c for c in sizes if c >= n), key=lambda c: cost(c, overhead, attention) / min(c, left))
             b = len(opened)
             opened.append(room)
             filled.append(0)
@@ -71,6 +82,7 @@ def pack(
     docs: DataFrame,
     capacities: Sequence[int] = CAPACITIES,
     overhead: int = OVERHEAD,
+    attention: int = ATTENTION,
     shard_pieces: int = SHARD_PIECES,
 ) -> DataFrame:
     """Pieces of all documents with their place in a sequence.
@@ -96,7 +108,7 @@ def pack(
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["row", "piece"], ignore_index=True)
-        bins, offsets, sizes = best_fit(rows["n_words"].to_numpy(), capacities, overhead)
+        bins, offsets, sizes = best_fit(rows["n_words"].to_numpy(), capacities, overhead, attention)
         rows["bin_id"] = (rows["shard"].to_numpy() << 32) + bins
         rows["bin_offset"], rows["capacity"] = offsets, sizes
         return rows[names]

@@ -277,6 +277,44 @@ def test_best_fit_is_close_to_the_least_cost():
     assert [len(x) for x in packing.best_fit(np.zeros(0, np.int64))] == [0, 0, 0]
 
 
+def all_groupings(items):
+    if not items:
+        yield []
+        return
+    for rest in all_groupings(items[1:]):
+        yield [[items[0]], *rest]
+        for i in range(len(rest)):
+            yield [*rest[:i], [items[0], *rest[i]], *rest[i + 1 :]]
+
+
+def test_packing_against_the_least_cost_of_all_groupings():
+    """Tiny inputs: never below the optimum, and close to it over all."""
+    rng, sizes = np.random.default_rng(7), (8, 16, 32)
+    of = lambda c: packing.cost(c, 2, 64)
+    paid = least = 0.0
+    for _ in range(60):
+        lengths = rng.integers(1, 33, size=int(rng.integers(1, 7)))
+        bins, _, capacity = packing.best_fit(lengths, sizes, 2, 64)
+        spent = sum(of(int(c)) for c in capacity[np.unique(bins, return_index=True)[1]])
+        best = min(
+            sum(of(min(c for c in sizes if c >= sum(g))) for g in grouping)
+            for grouping in all_groupings(lengths.tolist())
+            if all(sum(g) <= max(sizes) for g in grouping)
+        )
+        assert spent >= best - 1e-9
+        paid, least = paid + spent, least + best
+    assert paid <= 1.08 * least
+
+
+def test_several_lengths_are_opened_on_real_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = packing.pack(docs).filter("bin_id is not null").select("bin_id", "capacity").distinct().groupBy("capacity").count().collect()
+    used = {r.capacity: r["count"] for r in rows}
+    assert used[2048] == max(used.values()) and used.get(8192, 0) + used.get(4096, 0) > 0 and len(used) >= 2
+    # the length that balances overhead and attention costs least for each word
+    assert min(packing.CAPACITIES, key=lambda c: packing.cost(c) / c) == 2048
+
+
 def test_quality_scores_held_out_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
