@@ -1,20 +1,21 @@
-"""Removal of long passages that an earlier document has, by fingerprints of windows.
-
-A suffix of a document matters for its first ``WINDOW`` words only. A suffix tree cut at that depth
-would have a node for each sequence of so many words, with all places where it starts; equal
-fingerprints give the same nodes without the tree, whose inner nodes nothing asks for.
-
-1. Anchors: of the k-grams in each window that with the least hash. Equal windows have equal
-   anchors, so a window whose anchor no other document has is unique and never indexed.
-2. Each remaining suffix is dealt out by a fingerprint of its whole window into parts that fit in
-   memory.
-3. In each part the suffixes are sorted by their windows; at a node, which has one sequence of
-   words, all places but those in the smallest document are to be removed.
-
-A window stands as two independent fingerprints of 64 bits, polynomials of different bases over
-differently keyed 64-bit hashes of its words; windows that agree in both count as equal. Within a
-batch of documents only the smallest document of each node is sent on, so a passage that a third of
-all documents share is a few rows of each batch.
+"""Removal of long passages that an earlier document has, by suffix trees of shared prefixes.
+
+1. Anchors: of the k-grams in each window of ``WINDOW`` words that with the least hash. Equal windows have
+   equal anchors at equal places, so a window whose anchor no other document has is unique and never
+   indexed. Consecutive windows with one anchor travel together, as one stretch of words.
+2. The suffixes that begin at an anchor are dealt out by the words of the anchor, their prefix, into
+   parts that fit in memory. Where too many documents have an anchor, the prefix is lengthened to a
+   whole window, which spreads its continuations over all parts.
+3. In each part the suffixes at the anchors are sorted by their words; the longest common prefixes of
+   neighbours are the inner nodes of the prefix's subtree. The words before the anchors are sorted the
+   same way, backwards. A suffix that starts some words before an anchor is in one place on each side,
+   so the nodes of depth ``WINDOW`` of all suffixes follow from the two trees. Of the leaves of such a
+   node all but those in the smallest document are to be removed. Only words are compared here.
+
+Within a batch of documents only the smallest document of each repeated window is sent on, so a passage
+that a third of all documents share is a few rows of each batch. Fingerprints find these windows, and
+their words are then compared. That an anchor is shared is told by 56 bits of its hash; equal ones by
+chance cost work, not correctness.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,30 +40,49 @@ BASE, SECOND_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Key of the second hash of words; 16 characters.
 SECOND_KEY = "second print key"
 
+#: From so many documents on an anchor's prefix is lengthened.
+CROWDED = 20_000
+
 SUFFIXES = (
-    "part long, chunk long, firsts binary, seconds binary, doc_ids binary, members binary, starts binary,"
-    " keys array<long>, own_members binary, own_starts binary"
+    "part long, chunk long, anchors binary, doc_ids binary, members binary, starts binary, counts binary, shifts binary,"
+    " words binary, keys array<long>, own_members binary, own_starts binary"
 )
 REMOVED = "doc_id long, text_hash long, starts array<int>"
 
 
 @dataclass
 class Windows:
-    """All windows of a batch of texts: text, start in the text, anchor."""
+    """All windows of a batch of texts: text, start in the text, anchor, the anchor's place and the window's among all words."""
 
     texts: np.ndarray
     starts: np.ndarray
     anchors: np.ndarray
-    _at: np.ndarray
+    places: np.ndarray
+    at: np.ndarray
+    words: pa.Array
     _sums: np.ndarray
     _inverse: np.ndarray
-    _words: pa.DictionaryArray
+    _codes: pa.DictionaryArray
+
+    def equal(self, some: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Which windows have the same words as their counterparts."""
+        codes, same = self._codes.indices.to_numpy(), np.ones(len(some), bool)
+        for k in range(WINDOW):
+            same &= codes[self.at[some] + k] == codes[self.at[others] + k]
+        return same
+
+    def stretches(self, first: np.ndarray, count: np.ndarray) -> pa.Array:
+        """The words of so many windows in a row, joined by spaces."""
+        sizes = count + WINDOW - 1
+        words = self.words.take(pa.array(ragged(self.at[first], sizes)))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, words), " ")
 
     def prints(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Two independent 64-bit fingerprints of whole windows."""
-        at = self._at[chosen]
+        at = self.at[chosen]
         of = lambda sums, inverse: mixed((sums[at + WINDOW] - sums[at]) * inverse[at])
-        others = hash_words(self._words.dictionary, SECOND_KEY)[self._words.indices.to_numpy()]
+        others = hash_words(self._codes.dictionary, SECOND_KEY)[self._codes.indices.to_numpy()]
         return of(self._sums, self._inverse), of(*running(others, SECOND_BASE))
 
 
@@ -74,27 +95,29 @@ def running(hashes: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray
 
 def windows(texts: pa.Array) -> Windows:
     offsets, words = split_words(texts)
-    words = words.dictionary_encode()
-    sums, inverse = running(hash_words(words.dictionary)[words.indices.to_numpy()], BASE)
+    codes = words.dictionary_encode()
+    sums, inverse = running(hash_words(codes.dictionary)[codes.indices.to_numpy()], BASE)
     counts = np.diff(offsets)
     long = np.flatnonzero(counts >= WINDOW)
     sizes = counts[long] - WINDOW + 1
     at = ragged(offsets[long], sizes)
-    anchors = np.zeros(0, np.uint64)
+    anchors, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(at):
         grams = mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[: len(sums) - GRAM])
-        least, width = grams, 1
-        while width * 2 <= SPAN:
-            least, width = np.minimum(least[:-width], least[width:]), width * 2
-        least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
-        anchors = least[at]
+        least, width = np.arange(len(grams)), 1
+        while width < SPAN:  # the leftmost of the least
+            step = min(width, SPAN - width)
+            left, right = least[:-step], least[step:]
+            least, width = np.where(grams[right] < grams[left], right, left), width + step
+        places = least[at]
+        anchors = grams[places]
     texts_of = np.repeat(long, sizes)
-    return Windows(texts_of, at - offsets[texts_of], anchors, at, sums, inverse, words)
+    return Windows(texts_of, at - offsets[texts_of], anchors, places, at, words, sums, inverse, codes)
 
 
 def _parts(docs: DataFrame) -> int:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(64, -(-total // (4 * PART_BYTES)))
+    return max(64, -(-total // (2 * PART_BYTES)))
 
 
 def _slice_bytes(parts: int) -> int:
@@ -102,8 +125,9 @@ def _slice_bytes(parts: int) -> int:
     return BATCH_BYTES * min(4, max(1, parts // 4096))
 
 
-def shared_anchors(docs: DataFrame, parts: int) -> DataFrame:
-    """``doc_id, text_hash, anchors``: those of a document that another one has too."""
+def shared_anchors(docs: DataFrame, parts: int, crowded_from: int = CROWDED) -> DataFrame:
+    """``doc_id, text_hash, anchors, crowded``: those of a document that another one has too, and which
+    of them ``crowded_from`` documents have."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=_slice_bytes(parts)):
@@ -119,40 +143,97 @@ def shared_anchors(docs: DataFrame, parts: int) -> DataFrame:
         head = next(b for b in blocks if b["ids"] is not None)
         replies = [b for b in blocks if b["ids"] is None]
         join = lambda name, kind: np.concatenate([np.zeros(0, kind), *[unpacked(b[name], kind) for b in replies]])
-        hashes, members = join("hashes", np.uint64), join("members", np.uint32)
+        hashes, members, counts = join("hashes", np.uint64), join("members", np.uint32), join("counts", np.uint16)
+        crowded = np.unique(hashes[counts >= crowded_from])
         direct = members != MARK
         hashes = np.concatenate([hashes[direct], unpacked(head["own_hashes"], np.uint64)])
         members = np.concatenate([members[direct], unpacked(head["own_members"], np.uint32)])
-        hashes = hashes[np.argsort(members, kind="stable")].view(np.int64)
+        hashes = hashes[np.argsort(members, kind="stable")]
         keys = np.array(head["ids"], np.int64).reshape(-1, 2)
         sizes = np.bincount(members, minlength=len(keys))[: len(keys)]
         has = sizes > 0
         offsets = np.concatenate([[0], np.cumsum(sizes[has])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes))
-        return pa.Table.from_arrays([pa.array(keys[has, 0]), pa.array(keys[has, 1]), lists], ["doc_id", "text_hash", "anchors"])
+        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (hashes.view(np.int64), np.isin(hashes, crowded))]
+        return pa.Table.from_arrays([pa.array(keys[has, 0]), pa.array(keys[has, 1]), *lists], ["doc_id", "text_hash", "anchors", "crowded"])
 
     numbered = docs.select("doc_id", "text_hash", "text", F.monotonically_increasing_id().alias("row"))
     blocks = numbered.mapInArrow(cut, BLOCK).groupBy("part").applyInArrow(shared_in_part, BLOCK)
-    found = blocks.groupBy("chunk").applyInArrow(gather, "doc_id long, text_hash long, anchors array<long>")
-    return found.groupBy("doc_id", "text_hash").agg(F.first("anchors").alias("anchors"))
+    found = blocks.groupBy("chunk").applyInArrow(gather, "doc_id long, text_hash long, anchors array<long>, crowded array<boolean>")
+    found = found.groupBy("doc_id", "text_hash").agg(F.first(F.struct("anchors", "crowded")).alias("of"))
+    return found.select("doc_id", "text_hash", "of.*")
 
 
 def _suffix_batch(rows: list[dict]) -> pa.RecordBatch:
     kinds = [("part", pa.int64()), ("chunk", pa.int64())]
-    kinds += [(c, pa.binary()) for c in ("firsts", "seconds", "doc_ids", "members", "starts")]
+    kinds += [(c, pa.binary()) for c in ("anchors", "doc_ids", "members", "starts", "counts", "shifts", "words")]
     kinds += [("keys", pa.list_(pa.int64())), ("own_members", pa.binary()), ("own_starts", pa.binary())]
     return pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
 
-def nodes(firsts: np.ndarray, seconds: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort suffixes by their windows' prints: the order, and for each the smallest document at its node."""
-    order = np.lexsort((seconds, firsts))
-    p, r = firsts[order], seconds[order]
-    starts = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (r[1:] != r[:-1])])) if len(p) else np.zeros(0, np.int64)
-    least = np.empty(len(p), np.int64)
-    if len(p):
-        least[order] = np.repeat(np.minimum.reduceat(doc_ids[order], starts), np.diff(np.append(starts, len(p))))
-    return order, least
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Where a new run of equal keys begins, of arrays in order."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return new
+
+
+def smallest(doc_ids: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """For each place one with the smallest document among those of equal keys."""
+    order = np.lexsort((doc_ids, *keys))
+    starts = np.flatnonzero(runs(*[k[order] for k in keys]))
+    found = np.empty(len(order), np.int64)
+    found[order] = np.repeat(order[starts], np.diff(np.append(starts, len(order))))
+    return found
+
+
+class Subtree:
+    """Sequences of words (rows of ``codes``, -1 beyond their end) sorted below their prefixes.
+
+    ``common`` has the longest common prefix of each sequence, in sorted order, with the one before;
+    it is negative where another prefix begins. Neighbours with ``depth`` words in common are the
+    leaves of one inner node.
+    """
+
+    def __init__(self, codes: np.ndarray, prefixes: np.ndarray):
+        self.order = np.lexsort((*codes.T[::-1], prefixes))
+        rows, prefixes = codes[self.order], prefixes[self.order]
+        self.common = np.full(len(rows), -1)
+        alike = (rows[1:] == rows[:-1]) & (rows[1:] >= 0)
+        self.common[1:] = np.where(prefixes[1:] == prefixes[:-1], np.cumprod(alike, axis=1).sum(1), -1)
+
+    def nodes(self, depth: int) -> np.ndarray:
+        """For each sequence the node at ``depth`` that it is below; sequences that short share none."""
+        found = np.empty(len(self.order), np.int64)
+        found[self.order] = np.cumsum((self.common < depth) | (self.common < 0))
+        return found
+
+
+def repeated_windows(
+    anchors: np.ndarray, doc_ids: np.ndarray, counts: np.ndarray, shifts: np.ndarray, texts: pa.Array
+) -> tuple[np.ndarray, np.ndarray]:
+    """Stretch and number within it of each window that a smaller document has as well.
+
+    A stretch has ``counts`` windows; its anchor begins ``shifts`` words after its first one.
+    """
+    lists = pc.split_pattern(texts, " ")
+    codes = np.append(lists.flatten().dictionary_encode().indices.to_numpy(), -1)
+    begin, size = lists.offsets.to_numpy()[:-1].astype(np.int64), counts + WINDOW - 1
+
+    def side(place: np.ndarray) -> np.ndarray:
+        inside = (place >= 0) & (place < size[:, None])
+        return codes[np.where(inside, begin[:, None] + place, len(codes) - 1)]
+
+    after = Subtree(side(shifts[:, None] + np.arange(WINDOW)), anchors)
+    before = Subtree(side(shifts[:, None] - 1 - np.arange(SPAN - 1)), anchors)
+    stretch, number = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for shift in range(SPAN):
+        has = np.flatnonzero((shifts >= shift) & (shifts - counts < shift))
+        if len(has):
+            keys = before.nodes(shift)[has], after.nodes(WINDOW - shift)[has]
+            later = doc_ids[has] > doc_ids[has[smallest(doc_ids[has], *keys)]]
+            stretch.append(has[later])
+            number.append(shifts[has[later]] - shift)
+    return np.concatenate(stretch), np.concatenate(number)
 
 
 def removed_starts(packed_docs: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
@@ -167,35 +248,59 @@ def removed_starts(packed_docs: DataFrame, anchors: DataFrame, parts: int) -> Da
             shared = lists.values.to_numpy().view(np.uint64)[ends[0] : ends[-1]]
             salt = lambda of, h: mixed(h + np.asarray(of).astype(np.uint64) * BASE)
             wanted = salt(np.repeat(np.arange(len(batch)), np.diff(ends)), shared)
-            chosen = np.flatnonzero(np.isin(salt(found.texts, found.anchors >> np.uint64(8)), wanted))
+            salted = salt(found.texts, found.anchors >> np.uint64(8))
+            chosen = np.flatnonzero(np.isin(salted, wanted))
+            crowded = np.isin(salted[chosen], wanted[batch["crowded"].values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]])
             firsts, seconds = found.prints(chosen)
-            members, starts = found.texts[chosen].astype(np.uint32), found.starts[chosen].astype(np.uint32)
-            doc_ids = batch["doc_id"].to_numpy()[members]
-            order, least = nodes(firsts, seconds, doc_ids)
+            doc_ids = batch["doc_id"].to_numpy()[found.texts[chosen]]
+            best = smallest(doc_ids, seconds, firsts)
+            done = doc_ids > doc_ids[best]
+            done[done] = found.equal(chosen[done], chosen[best[done]])
             chunk, number = (TaskContext.get().partitionId() << 32) + number, number + 1
             keys = np.column_stack([batch["doc_id"].to_numpy(), batch["text_hash"].to_numpy()]).reshape(-1)
-            done = doc_ids > least
-            blocks = [{"part": parts + chunk % parts, "chunk": chunk, "keys": keys.tolist(), "own_members": packed(members[done]), "own_starts": packed(starts[done])}]
-            order = order[~done[order]]
-            firsts, seconds, doc_ids, members, starts = (x[order] for x in (firsts, seconds, doc_ids, members, starts))
-            for p, a, b in runs_of_parts(firsts >> np.uint64(32), parts):
-                columns = {"seconds": seconds, "doc_ids": doc_ids, "members": members, "starts": starts}
+            own = {"own_members": found.texts[chosen[done]].astype(np.uint32), "own_starts": found.starts[chosen[done]].astype(np.uint32)}
+            blocks = [{"part": parts + chunk % parts, "chunk": chunk, "keys": keys.tolist(), **{c: packed(x) for c, x in own.items()}}]
+            windows_, crowded, firsts = chosen[~done], crowded[~done], firsts[~done]
+            new = crowded | runs(found.places[windows_], found.at[windows_] - np.arange(len(windows_)))
+            new[1:] |= crowded[:-1]
+            begin = np.flatnonzero(new)
+            counts = np.diff(np.append(begin, len(windows_)))
+            first = windows_[begin]
+            # the words of the anchor are the prefix; a crowded one is lengthened to the whole window
+            prefix = np.where(crowded[begin], firsts[begin], found.anchors[first])
+            order = np.argsort(prefix, kind="stable")
+            first, counts, prefix = first[order], counts[order], prefix[order]
+            words = found.stretches(first, counts).to_pylist()
+            columns = {
+                "anchors": found.anchors[first],
+                "doc_ids": batch["doc_id"].to_numpy()[found.texts[first]],
+                "members": found.texts[first].astype(np.uint32),
+                "starts": found.starts[first].astype(np.uint32),
+                "counts": counts.astype(np.uint8),
+                "shifts": (found.places[first] - found.at[first]).astype(np.uint8),
+            }
+            for p, a, b in runs_of_parts(prefix >> np.uint64(32), parts):
                 block = {c: packed(x[a:b]) for c, x in columns.items()}
-                blocks.append({"part": p, "chunk": chunk, "firsts": packed(np.diff(firsts[a:b], prepend=np.uint64(0))), **block})
+                blocks.append({"part": p, "chunk": chunk, "words": "\n".join(words[a:b]).encode(), **block})
             yield _suffix_batch(blocks)
 
     def subtrees(part: pa.Table) -> pa.Table:
         blocks = part.to_pylist()
         filled = [b for b in blocks if b["keys"] is None]
         if filled:
-            firsts = [np.cumsum(unpacked(b["firsts"], np.uint64), dtype=np.uint64) for b in filled]
-            seconds = np.concatenate([unpacked(b["seconds"], np.uint64) for b in filled])
-            doc_ids = np.concatenate([unpacked(b["doc_ids"], np.int64) for b in filled])
-            later = doc_ids > nodes(np.concatenate(firsts), seconds, doc_ids)[1]
-            for block, own in zip(filled, np.split(later, np.cumsum([len(p) for p in firsts])[:-1])):
-                for c in ("members", "starts"):
-                    block[c] = packed(unpacked(block[c], np.uint32)[own])
-                block |= {"firsts": None, "seconds": None, "doc_ids": None}
+            all_of = lambda c, t: np.concatenate([unpacked(b[c], t) for b in filled])
+            texts = pa.array(b"\n".join(b["words"] for b in filled).decode().split("\n"), pa.string())
+            members, starts = all_of("members", np.uint32), all_of("starts", np.uint32)
+            counts, shifts = all_of("counts", np.uint8).astype(np.int64), all_of("shifts", np.uint8).astype(np.int64)
+            stretch, number = repeated_windows(all_of("anchors", np.uint64), all_of("doc_ids", np.int64), counts, shifts, texts)
+            order = np.argsort(stretch, kind="stable")
+            stretch, number = stretch[order], number[order]
+            ends = np.cumsum([len(unpacked(b["members"], np.uint32)) for b in filled])
+            cuts = np.concatenate([[0], np.searchsorted(stretch, ends)])
+            for block, a, b in zip(filled, cuts, cuts[1:]):
+                block |= dict.fromkeys(("anchors", "doc_ids", "counts", "shifts", "words"))
+                block["members"] = packed(members[stretch[a:b]])
+                block["starts"] = packed((starts[stretch[a:b]] + number[a:b]).astype(np.uint32))
         return pa.Table.from_batches([_suffix_batch(blocks)])
 
     def gather(chunk: pa.Table) -> pa.Table:
@@ -252,7 +357,7 @@ def kept_words(text: str, starts, rejoin: bool) -> tuple[int, int, str]:
     return len(words), len(words) - len(left), b" ".join(left).decode()
 
 
-def remove_repeats(docs: DataFrame, rejoin: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, rejoin: bool = False, crowded_from: int = CROWDED) -> DataFrame:
     """``docs`` with ``text`` shortened, and ``n_words`` and ``n_removed`` (replaced if present).
 
     Every word goes that is covered by a window of 50 words whose sequence also starts in a document
@@ -270,7 +375,7 @@ def remove_repeats(docs: DataFrame, rejoin: bool = False) -> DataFrame:
     packed_docs = keyed.select("doc_id", F.col("__hash").alias("text_hash"), F.col("__packed").alias("packed_text"))
     plain = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).filter("doc_id is not null")
     parts = _parts(plain)
-    found = removed_starts(packed_docs, shared_anchors(plain, parts), parts)
+    found = removed_starts(packed_docs, shared_anchors(plain, parts, crowded_from), parts)
 
     @F.pandas_udf("n_words long, n_removed long, text string")
     def shorten(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:

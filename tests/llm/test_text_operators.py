@@ -165,6 +165,45 @@ def test_windows_with_a_crowded_prefix_are_dealt_out():
     assert np.bincount((firsts >> np.uint64(58)).astype(int), minlength=64).max() <= 40
 
 
+def test_lengthened_prefixes_change_nothing(spark, table):
+    """Every shared anchor is crowded, so each window is dealt out by all of its words."""
+    lone = substrings.remove_repeats(table, crowded_from=2).select("doc_id", "text", "n_words", "n_removed")
+    plain = substrings.remove_repeats(table).select("doc_id", "text", "n_words", "n_removed")
+    assert sorted(map(str, lone.collect())) == sorted(map(str, plain.collect()))
+    shared = " ".join(f"p{i}" for i in range(30))
+    docs = [(i, f"{shared} " + " ".join(f"t{i}.{k}" for k in range(30))) for i in range(64)] + [(99, f"{shared} " + " ".join(f"t7.{k}" for k in range(30)))]
+    rows = substrings.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), crowded_from=10).collect()
+    assert {r.doc_id: r.n_removed for r in rows if r.n_removed} == {99: 60}
+
+
+def test_subtree_nodes_are_common_prefixes():
+    rng = np.random.default_rng(3)
+    codes, prefixes = rng.integers(0, 2, (200, 8)), rng.integers(0, 3, 200).astype(np.uint64)
+    codes[np.arange(8) >= rng.integers(3, 9, 200)[:, None]] = -1
+    tree = substrings.Subtree(codes, prefixes)
+    for depth in range(9):
+        found, known = tree.nodes(depth), {}
+        for node, row, prefix in zip(found, codes, prefixes):
+            if depth and row[depth - 1] < 0:
+                continue  # too short for this depth
+            key = (prefix, *row[:depth])
+            assert known.setdefault(key, node) == node
+        assert len(set(known.values())) == len(known)
+
+
+def test_windows_with_one_hash_and_other_words_stay_apart():
+    """Equal anchors, equal documents' order, different words: only words decide."""
+    words = [f"w{i}" for i in range(60)]
+    other = [*words[:40], "x", *words[41:]]
+    texts = pa.array([" ".join(words), " ".join(other), " ".join(words)])
+    args = np.zeros(3, np.uint64), np.array([1, 2, 3]), np.array([11, 11, 11]), np.array([10, 10, 10])
+    stretch, number = substrings.repeated_windows(*args, texts)
+    assert set(stretch.tolist()) == {2} and sorted(number.tolist()) == list(range(11))
+    texts = pa.array([" ".join(words), " ".join([*words[:3], "x", *words[4:]])])
+    stretch, number = substrings.repeated_windows(*[a[:2] for a in args], texts)
+    assert set(stretch.tolist()) == {1} and sorted(number.tolist()) == list(range(4, 11))
+
+
 def test_substring_removal_keeps_columns(table, empty):
     left = substrings.remove_repeats(table)
     assert left.columns == [*table.columns, "n_removed"]
