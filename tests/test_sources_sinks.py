@@ -158,6 +158,24 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert a != b and a.startswith(shared)
 
 
+def test_options_of_a_range_of_a_topic():
+    got = kafka.range_options("k:1", "t", {1: 5, 0: 7}, {0: 9, 1: -1}, extra={"minPartitions": "9"})
+    assert got == {
+        "kafka.bootstrap.servers": "k:1",
+        "subscribe": "t",
+        "failOnDataLoss": "true",
+        "startingOffsets": '{"t": {"0": 7, "1": 5}}',
+        "endingOffsets": '{"t": {"0": 9, "1": -1}}',
+        "minPartitions": "9",
+    }
+    noon = dt.datetime(2026, 9, 17, 12, tzinfo=dt.timezone.utc)
+    timed = kafka.range_options("k:1", "t", starting_time=noon)
+    assert timed["startingTimestamp"] == "1789646400000" and timed["endingOffsets"] == "latest" and "startingOffsets" not in timed
+    for wrong in ({"starting": "latest"}, {"ending": "earliest"}, {"ending_time": dt.datetime(2026, 9, 17)}):
+        with pytest.raises(ValueError):
+            kafka.range_options("k:1", "t", **wrong)
+
+
 # --- metrics -------------------------------------------------------------------------------
 
 
