@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from telemill.operators import analytics as an, changelog as cl
 from telemill.schema import CHANGELOG, EVENT, WINDOW_KPIS
 from telemill.sources import console_log, curated, kafka
-from telemill.sources.scratch import scratch_dir
+from telemill.sources.scratch import scratch_dir, scratch_scope
 from telemill.streaming import metrics
 
 T0 = dt.datetime(2026, 9, 17, 10, 0)
@@ -176,6 +176,24 @@ def test_options_of_a_range_of_a_topic():
             kafka.range_options("k:1", "t", **wrong)
 
 
+def test_scratch_scope_removes_what_was_made_inside(spark, tmp_path):
+    from telemill.plans.registry import QUERIES
+
+    outside = scratch_dir(spark, "outside")
+    spark.range(1).write.parquet(outside)
+    with scratch_scope(spark) as made:
+        rows = QUERIES["compacted_state"](spark, "/root/testdata/sf0.001").count()
+        with scratch_scope(spark) as inner:
+            spark.range(1).write.parquet(scratch_dir(spark, "inner"))
+        assert made and all(Path(p).exists() for p in made) and not Path(inner[0]).exists()
+    assert rows and not any(Path(p).exists() for p in made) and Path(outside).exists()
+    with pytest.raises(KeyError):
+        with scratch_scope(spark) as made:
+            spark.range(1).write.parquet(scratch_dir(spark, "failed"))
+            raise KeyError
+    assert not Path(made[0]).exists()
+
+
 # --- metrics -------------------------------------------------------------------------------
 
 
