@@ -365,6 +365,30 @@ def test_quality_scores_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows.values())
 
 
+def test_quality_scores_equal_a_plain_form(spark, table):
+    """Sizes of each text under each dictionary, one by one, and the logistic of their weighted sum."""
+    import zstandard
+
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = quality.train(docs, labels)
+    assert model.good and model.bad and model.good != model.bad
+
+    def size(data, content):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if content else None
+        return len(zstandard.ZstdCompressor(level=model.level, dict_data=held).compress(data))
+
+    texts = [r.text for r in docs.limit(60).collect()] + [None, "", "x", "word " * 20_000]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r.id: r.s for r in got.select("id", quality.score(got["text"], model).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        data = (text or "").encode()
+        n, plain = max(len(data), 16), size(data, None)
+        x = ((size(data, model.bad) - size(data, model.good)) / n, plain / n, math.log(n))
+        z = model.weights[0] + sum(a * b for a, b in zip(model.weights[1:], x))
+        assert math.isclose(got[i], 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-6), text
+
+
 def test_quality_edge_cases(spark, table, empty):
     few = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 0, 0)], "doc_id long, quality int, toxic int")
     rows = quality.quality_scores(table, few).collect()
@@ -411,6 +435,28 @@ def test_hidden_markov_scores(table, empty):
     assert hmm.scores(empty, rounds=1).count() == 0
 
 
+def test_whole_scores_and_known_tokens_equal_a_plain_model(table):
+    """Symbols, known tokens and scores of every text, the very long one included, from words alone."""
+    _, _, _, model = hmm.train(table, rounds=2)
+    rows = table.select("doc_id", "text").collect()
+    learned = [r for r in rows if zlib.crc32(str(r.doc_id if r.doc_id is not None else "").encode()) % 7 != 2]
+    c = collections.Counter(w for r in learned for w in words(r.text, lower=True))
+    hash_of = lambda w: int(hmm.hash_words(pa.array([w.decode()]))[0])
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    ranked = sorted(c, key=lambda w: (-c[w], signed(hash_of(w))))
+    assert len(ranked) < hmm.OWN_SYMBOLS  # so each known word has a symbol of its own, and buckets only unknown ones
+    symbol = {w: i for i, w in enumerate(ranked)}
+    want = []
+    for r in rows:
+        w = words(r.text, lower=True)
+        bucket = lambda x: hmm.OWN_SYMBOLS + hash_of(x.decode()[-3:].encode()) % hmm.BUCKETS
+        symbols = [*(symbol[x] if x in symbol else bucket(x) for x in w), hmm.END]
+        want.append((str(r.doc_id), sum(x in c for x in w) + 1, round(brute_forward(model, symbols), 6)))
+    got = hmm.scores(table, rounds=2).collect()
+    assert sorted((str(r.doc_id), r.n_known, round(r.score, 6)) for r in got) == sorted(want)
+    assert max(r.n_tokens for r in got) > 30_000
+
+
 def test_baum_welch_raises_the_likelihood(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     learned = docs.filter(~hmm.held_out())
