@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from telemill.llm.components import components
 from telemill.llm.words import kept, ragged
 
-LIMIT, RECALL, SIGMAS, SEED = 0.95, 0.99, 4.0, 11
+LIMIT, RECALL, SIGMAS, SEED = 0.95, 0.9999, 4.0, 11
 #: Larger groups are cut into tiles of about this many vectors; tasks compare two tiles at a time.
 TILE = 1024
 PAIRS_AT_ONCE = 16_384
