@@ -346,7 +346,8 @@ def windows_since(spark: SparkSession, base: str, end: float) -> DataFrame:
     version = read_version(spark, base)
     pending = pending_batches(spark, base, version)
     touched = {r.date for r in _changes(spark, base, pending).select("date").distinct().collect()} if pending else set()
-    late_enough = {d for d, e in version.dates.items() if e.last_end is not None and e.last_end >= end}
+    # a millisecond more than needed, for rounding: the windows themselves are filtered by their own time
+    late_enough = {d for d, e in version.dates.items() if e.last_end is not None and e.last_end + 0.001 >= end}
     wanted = late_enough | touched
     return cl.latest_window_state(_merged(spark, base, version, wanted.__contains__, pending))
 
