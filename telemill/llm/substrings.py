@@ -117,7 +117,7 @@ def windows(texts: pa.Array) -> Windows:
 
 def _parts(docs: DataFrame) -> int:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(64, -(-total // (2 * PART_BYTES)))
+    return max(64, -(-total // PART_BYTES))
 
 
 def _slice_bytes(parts: int) -> int:
@@ -198,8 +198,8 @@ class Subtree:
         self.order = np.lexsort((*codes.T[::-1], prefixes))
         rows, prefixes = codes[self.order], prefixes[self.order]
         self.common = np.full(len(rows), -1)
-        alike = (rows[1:] == rows[:-1]) & (rows[1:] >= 0)
-        self.common[1:] = np.where(prefixes[1:] == prefixes[:-1], np.cumprod(alike, axis=1).sum(1), -1)
+        alike = np.logical_and.accumulate((rows[1:] == rows[:-1]) & (rows[1:] >= 0), axis=1)
+        self.common[1:] = np.where(prefixes[1:] == prefixes[:-1], alike.sum(1), -1)
 
     def nodes(self, depth: int) -> np.ndarray:
         """For each sequence the node at ``depth`` that it is below; sequences that short share none."""
@@ -216,15 +216,20 @@ def repeated_windows(
     A stretch has ``counts`` windows; its anchor begins ``shifts`` words after its first one.
     """
     lists = pc.split_pattern(texts, " ")
-    codes = np.append(lists.flatten().dictionary_encode().indices.to_numpy(), -1)
-    begin, size = lists.offsets.to_numpy()[:-1].astype(np.int64), counts + WINDOW - 1
-
-    def side(place: np.ndarray) -> np.ndarray:
-        inside = (place >= 0) & (place < size[:, None])
-        return codes[np.where(inside, begin[:, None] + place, len(codes) - 1)]
-
-    after = Subtree(side(shifts[:, None] + np.arange(WINDOW)), anchors)
-    before = Subtree(side(shifts[:, None] - 1 - np.arange(SPAN - 1)), anchors)
+    codes = np.append(lists.flatten().dictionary_encode().indices.to_numpy(), np.int32(-1))
+    begin, size = lists.offsets.to_numpy()[:-1], (counts + WINDOW - 1).astype(np.int32)
+    del lists
+
+    def side(first: np.ndarray, step: int, words: int) -> np.ndarray:
+        """So many words of each stretch from its word ``first`` on, one column after the other."""
+        rows = np.empty((len(first), words), np.int32)
+        for k in range(words):
+            place = first + k * step
+            rows[:, k] = codes[np.where((place >= 0) & (place < size), begin + place, len(codes) - 1)]
+        return rows
+
+    after = Subtree(side(shifts, 1, WINDOW), anchors)
+    before = Subtree(side(shifts - 1, -1, SPAN - 1), anchors)
     stretch, number = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for shift in range(SPAN):
         has = np.flatnonzero((shifts >= shift) & (shifts - counts < shift))
