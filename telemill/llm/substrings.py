@@ -110,7 +110,7 @@ def windows(texts: pa.Array) -> Windows:
             left, right = least[:-step], least[step:]
             least, width = np.where(grams[right] < grams[left], right, left), width + step
         places = least[at]
-        anchors = grams[places]
+        anchors = mixed(grams[places])  # spread evenly again: the least of many hashes are small
     texts_of = np.repeat(long, sizes)
     return Windows(texts_of, at - offsets[texts_of], anchors, places, at, words, sums, inverse, codes)
 
