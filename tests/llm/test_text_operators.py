@@ -508,7 +508,7 @@ def test_pipeline_stages_keep_the_contract(spark, table, empty):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_dealing_does_not_depend_on_the_number_of_parts():
