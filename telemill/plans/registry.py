@@ -674,13 +674,13 @@ def stream_window_state(spark, d):
 
 @query
 def stream_window_state_batches(spark, d):
-    """File by file, the copies of an event in different micro-batches."""
-    settings = replace(_settings(spark, "stream-batches"), watermark_delay="40 days")
-    records, folder = _records(spark, d), scratch_dir(spark, "stream-files")
-    for part in range(3):
-        records.filter(F.col("offset") % 3 == part).write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    job.start_aggregates(stream, settings, {"availableNow": True}).awaitTermination()
+    """Run by run over one checkpoint, the copies of an event in different micro-batches.
+
+    A run takes all files of its part at once: there are as many micro-batches at any size.
+    """
+    settings, records = replace(_settings(spark, "stream-batches"), watermark_delay="40 days"), _records(spark, d)
+    start = lambda stream: job.start_aggregates(stream, settings, {"availableNow": True})
+    _runs_over(spark, [records.filter(F.col("offset") % 3 == part) for part in range(3)], start, scratch_dir(spark, "stream-files"))
     return curated.read_state(spark, settings.output).drop("batch_id")
 
 

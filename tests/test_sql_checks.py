@@ -11,6 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from telemill.plans.checks import checks
 from telemill.plans.registry import QUERIES
 from telemill.sources import feed
+from telemill.sources.scratch import scratch_scope
 from telemill.operators import validate as va, windows as wi
 from pyspark.sql import functions as F
 
@@ -50,6 +51,28 @@ def test_query_matches_sql(name, spark, duck):
     assert got == want
 
 
+def test_batches_of_the_stream_do_not_follow_the_files(spark, tmp_path):
+    name, found = "stream_window_state_batches", []
+    ts = "timestamp_ntz'2024-01-01' + make_dt_interval(id % 20, 0, 0, id / 1000)"
+    kind, charge = "element_at(array('view', 'click', 'error'), int(id % 3) + 1)", """concat('{"k": ', id % 100, '}')"""
+    events = spark.range(400).selectExpr(
+        "id AS event_id", f"{ts} AS ts", "id % 13 AS user_id", f"{kind} AS event_type", "id % 90 + 0.5D AS value", f"{charge} AS props"
+    )
+    for files in (1, 5):
+        folder = tmp_path / str(files)
+        events.repartition(files).write.parquet(f"{folder}/events.parquet")
+        with scratch_scope(spark) as made:
+            df = QUERIES[name](spark, str(folder))
+            got = _rows(df.columns, df.collect())
+            commits = [p for place in made for p in Path(place).glob("checkpoint/aggregates/commits/[0-9]*")]
+        found.append(len(commits))
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+        expected = con.execute(oracle_sql()[name])
+        assert got and got == _rows([c[0] for c in expected.description], expected.fetchall())
+    assert found[0] == found[1] >= 3
+
+
 def test_entry(spark):
     assert entry(spark).count() == 10
 
